@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import materialize, table
-from . import mixing, packing, tokens
+from . import encoding, mixing, packing, tokens
 
 
 def _counted(spark: SparkSession, d: str, *columns: str) -> DataFrame:
@@ -45,8 +45,18 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(mixing.mix(docs, t, doc_id="doc_id", source="source", n_tokens="n_tokens"), docs, t, source="source", n_tokens="n_tokens")
 
 
+def p10_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with garbled stretches, the decoding chains that were undone, and the text restored."""
+    docs = table(spark, d, "documents").select("doc_id", "lang", "text")
+    return encoding.repair(docs, encoding.train_dictionaries(docs))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return p10_repaired(spark, d).select("doc_id").distinct()
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p8_containers, p8_fill, p9_selection, p9_shares)}
+    return {f.__name__: f for f in (p8_containers, p8_fill, p9_selection, p9_shares, p10_found, p10_repaired)}
 
 
 def llm_sql() -> dict[str, str]:
