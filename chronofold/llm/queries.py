@@ -8,13 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import materialize, table
-from . import encoding, mixing, packing, tokens
+from . import encoding, mixing, names, packing, tokens
 
 
 def _counted(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return table(spark, d, "documents").select(*columns, tokens.token_count("text").alias("n_tokens"))
 
 
+def declarant_names(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct spellings of notice and notice_event with the number of different rows they occur in."""
+    a = table(spark, d, "notice").select("notice_key", F.lit(-1).alias("event_index"), F.col("declarant_name_raw").alias("name"))
+    b = table(spark, d, "notice_event").select("notice_key", "event_index", F.col("declarant_name_raw").alias("name"))
+    return a.unionByName(b).where("name is not null").distinct().groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def p1_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Every spelling with its declarant."""
+    return names.link_variants(declarant_names(spark, d))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.variant_pairs(materialize(p1_entities(spark, d), "names-entities"))
+
+
 def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     """The container of every document (or piece of an over-long one) for each capacity of pack_budget."""
     budgets = [(r[0], r[1]) for r in table(spark, d, "pack_budget").select("budget_name", "capacity_tokens").distinct().collect()]
@@ -56,7 +72,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p8_containers, p8_fill, p9_selection, p9_shares, p10_found, p10_repaired)}
+    return {f.__name__: f for f in (p1_found, p1_entities, p8_containers, p8_fill, p9_selection, p9_shares, p10_found, p10_repaired)}
 
 
 def llm_sql() -> dict[str, str]:
