@@ -24,7 +24,7 @@ NICKNAMES = {
     "john": "johnny jack", "james": "jim jimmy", "michael": "mick", "richard": "dick rick", "thomas": "", "margaret": "maggie peggy", "susan": "sue", "peter": "pete", "george": "", "emma": "", "anna": "", "paul": "", "mark": "",
 }
 # Short forms of compound given names.
-COMPOUND = {"chema": "jose maria", "josema": "jose maria", "juancar": "juan carlos", "anabel": "ana belen", "mamen": "maria carmen", "maica": "maria carmen", "mayte": "maria teresa", "maite": "maria teresa", "josele": "jose luis", "pepelu": "jose luis", "luisal": "luis alberto", "juanma": "juan manuel", "josean": "jose antonio", "juanca": "juan carlos", "miguelan": "miguel angel", "maritere": "maria teresa"}
+COMPOUND = {"chema": "jose maria", "josema": "jose maria", "juancar": "juan carlos", "anabel": "ana belen", "mamen": "maria carmen", "maricarmen": "maria carmen", "maica": "maria carmen", "mayte": "maria teresa", "maite": "maria teresa", "josele": "jose luis", "pepelu": "jose luis", "luisal": "luis alberto", "juanma": "juan manuel", "josean": "jose antonio", "juanca": "juan carlos", "miguelan": "miguel angel", "maritere": "maria teresa"}
 # Words of address, and particles that are put in or left out.
 TITLES = frozenset("don dona dna dn d da sr sra srta mr mrs ms dr dra".split())
 PARTICLES = frozenset("de del la las los y e i and et und da do dos".split())
@@ -179,7 +179,7 @@ def _person(tokens: list[str]) -> dict | None:
         while n < len(core) and n < 3 and known(core[n]):
             n += 1
         if n and n < len(core):
-            if _initial(core[n]) and n + 1 < len(core) and not _initial(core[n + 1]) and len(core) - n > 2:
+            if _initial(core[n]) and n + 1 < len(core) and not _initial(core[n + 1]):
                 n += 1
             first, last = core[:n], core[n:]
         else:
