@@ -31,9 +31,21 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{held}"
 
 
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/chronofold/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; cleanup() removes what this process made, the end of the process what lies on a mounted path."""
+    if not _made:
+        atexit.register(lambda: [shutil.rmtree(p.removeprefix("file://"), True) for p in _made if p.startswith(("/", "file:"))])
+    _made.append(f"{shared_dir(spark)}/chronofold/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Remove all scratch tables of this process; frames that still read them become unusable."""
+    while _made:
+        drop_path(spark, _made.pop())
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
