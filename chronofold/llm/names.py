@@ -244,15 +244,20 @@ def rewritings(tokens: list[str], fixes: dict[str, list[tuple[str, int, int]]],
     """Forms of the name at its own specificity: (edits, -how much commoner the corrected tokens are), the least of each; as typed (0, 0)."""
     choices = [[(t, 0, 0), *fixes.get(t, ())] for t in tokens]
     out: dict[str, tuple[int, int]] = {}
-    for combo in product(*choices):
-        cost = sum(c for _, c, _ in combo)
-        if cost > max_edits:
-            continue
-        r = parse([t for t, _, _ in combo])
-        if r:
-            k, v = key_of(r)[0], (cost, -sum(g for _, _, g in combo))
-            if k not in out or v < out[k]:
-                out[k] = v
+
+    def go(i: int, chosen: list[str], cost: int, gain: int) -> None:
+        if i == len(choices):
+            r = parse(chosen)
+            if r:
+                k, v = key_of(r)[0], (cost, -gain)
+                if k not in out or v < out[k]:
+                    out[k] = v
+            return
+        for t, c, g in choices[i]:
+            if cost + c <= max_edits:
+                go(i + 1, [*chosen, t], cost + c, gain + g)
+
+    go(0, [], 0, 0)
     return out
 
 
@@ -295,7 +300,9 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
     around = vocab.mapInPandas(near, "t string, n bigint, lex boolean, v string")
     wrong = around.where("not lex").select("v", "t", F.col("n").alias("nt"))
     right = around.select("v", F.col("t").alias("u"), F.col("n").alias("nu"), F.col("lex").alias("ulex"))
-    may = wrong.join(right, "v").where((F.col("t") != F.col("u")) & (F.col("ulex") | (F.col("nu") >= ratio * F.col("nt")) | ((F.col("nt") <= rare) & (F.col("nu") >= F.col("nt"))))).select("t", "u", F.when(F.col("ulex"), LEXICAL).otherwise(F.col("nu") - F.col("nt")).alias("gain")).distinct()
+    # the planner can't know how many rows the deletions make: never broadcast them
+    common = F.col("ulex") | ((F.col("nu") > rare) & (F.col("nu") >= ratio * F.col("nt")))
+    may = wrong.join(right.hint("merge"), "v").where((F.col("t") != F.col("u")) & (common | ((F.col("nt") <= rare) & (F.col("nu") >= F.col("nt"))))).select("t", "u", common.alias("common"), F.when(F.col("ulex"), LEXICAL).otherwise(F.col("nu") - F.col("nt")).alias("gain")).distinct()
 
     def measure(batches):
         for pdf in batches:
@@ -306,11 +313,14 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
                 d.append(k if k <= most else 1 if _sound(t) == _sound(u) else 9)
             yield pdf.assign(d=d)
 
-    fixes = may.mapInPandas(measure, "t string, u string, gain bigint, d int").where("d < 9").groupBy("t").agg(F.array_sort(F.collect_list(F.struct("d", "u", "gain"))).alias("fixes"))
+    near_ones = may.mapInPandas(measure, "t string, u string, common boolean, gain bigint, d int").where("d < 9")
+    # a token is taken for another rare one only if that is nearer than any common one: misspellings of one word are many, and near each other
+    gathered = near_ones.groupBy("t").agg(F.coalesce(F.min(F.when(F.col("common"), F.col("d"))), F.lit(9)).alias("_any"), F.array_sort(F.collect_list(F.struct("d", "u", "gain", "common"))).alias("_f"))
+    fixes = gathered.select("t", F.transform(F.filter("_f", lambda f: f["common"] | (f["d"] < F.col("_any"))), lambda f: F.struct(f["d"].alias("d"), f["u"].alias("u"), f["gain"].alias("gain"))).alias("fixes"))
 
     # 2. rewritings
-    per = typed.select("name", F.explode("tokens").alias("t")).join(fixes, "t").groupBy("name").agg(F.collect_list(F.struct("t", "fixes")).alias("fx"))
-    full = typed.join(per, "name", "left")
+    per = typed.select("name", F.explode("tokens").alias("t")).join(fixes.hint("merge"), "t").groupBy("name").agg(F.collect_list(F.struct("t", "fixes")).alias("fx"))
+    full = typed.join(per.hint("merge"), "name", "left")
 
     def rewrite(batches):
         for pdf in batches:
@@ -326,6 +336,11 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
 
     forms = materialize(full.mapInPandas(rewrite, "name string, n bigint, own string, own_level int, form string, level int, cost int, gain bigint"), "names-forms")
 
+    def shorten(batches):
+        for pdf in batches:
+            out = [(e, f) for e in pdf["entity"] for f in forms_of(e)]
+            yield pd.DataFrame(out, columns=["entity", "form"])
+
     # 3a. spelled-out forms and their misspellings
     complete = forms.where("cost = 0 and level = 6").select("form").distinct()
     alt = forms.where("level = 6 and cost > 0 and own_level = 6 and own <> form").select(F.col("own").alias("wrong"), "form", "cost", "gain").join(complete.select("form"), "form", "left_semi")
@@ -342,8 +357,7 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
     whole = _unique(first.join(forms.where("own_level = 6").select("name").distinct(), "name", "left_semi"))
 
     # 3b. less specific spellings: forms that entities can be shortened to
-    shorten = F.udf(forms_of, "array<string>")
-    short = roots.select(F.col("entity").alias("form")).distinct().select(F.col("form").alias("entity"), F.explode(shorten("form")).alias("form"))
+    short = roots.select("entity").distinct().mapInPandas(shorten, "entity string, form string").hint("merge")
     less = forms.where("own_level < 6")
     hits = less.where("level < 6").join(short, "form").select("name", "entity", "cost").unionByName(first.join(less.select("name").distinct(), "name", "left_semi"))
     partial = _unique(hits)
@@ -353,7 +367,7 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
     left = forms.where("own_level > 0").join(linked.select("name"), "name", "left_anti")
     left = materialize(left, "names-left")
     own = left.where("cost = 0 and form = own").select("form", "level").distinct()
-    short2 = own.select(F.col("form").alias("entity"), F.explode(shorten("form")).alias("form"))
+    short2 = own.select(F.col("form").alias("entity")).mapInPandas(shorten, "entity string, form string").hint("merge")
     up = _unique(left.where("cost = 0 and form = own").select(F.col("form").alias("name")).distinct().join(short2, F.col("name") == short2["form"]).select("name", "entity", F.lit(0).alias("cost"))).select(F.col("name").alias("own"), "entity")
     rest = left.select("name", "own").distinct().join(up, "own", "left").select("name", F.coalesce("entity", "own").alias("entity"))
     return linked.unionByName(rest)
