@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..runtime import broadcast_checked
 
 
 def first_observed(obs: DataFrame, present_first: bool = False) -> DataFrame:
@@ -86,7 +87,7 @@ def disappearance_heads(obs: DataFrame) -> DataFrame:
 
 def mark_disappearances(notice: DataFrame, run_seen: DataFrame, runs: DataFrame) -> DataFrame:
     """(run_id, notice_key): notices of a run's surfaces that the run did not list. runs: (run_id, surface, from_date), from_date bounding the scope."""
-    scope = notice.join(F.broadcast(runs), notice["source_surface"] == runs["surface"]).where(F.col("filing_date") >= F.col("from_date")).select("run_id", "notice_key").distinct()
+    scope = notice.join(broadcast_checked(runs.withColumnRenamed("surface", "source_surface")), "source_surface").where(F.col("filing_date") >= F.col("from_date")).select("run_id", "notice_key").distinct()
     return scope.join(run_seen, ["run_id", "notice_key"], "left_anti")
 
 

@@ -189,7 +189,7 @@ def anti_not_cancelled(spark, d):
  SELECT ident, CASE WHEN count(*) > 1 THEN 'AMBIGUOUS' ELSE 'OK' END AS resolution, CASE WHEN count(*) = 1 THEN min(issuer_id) END AS issuer_id FROM hit GROUP BY 1""")
 def issuer_resolution(spark, d):
     """Exact identifiers of several kinds to issuers; more than one issuer is ambiguous, never picked from."""
-    u = table(spark, d, "supplier").join(F.broadcast(table(spark, d, "nation")), F.col("n_nationkey") == F.col("s_nationkey"))
+    u = table(spark, d, "supplier").join(broadcast_checked(table(spark, d, "nation")), F.col("n_nationkey") == F.col("s_nationkey"))
     u = u.select(F.concat(F.lit("S"), "s_suppkey").alias("issuer_id"), F.concat(F.lit("NIF"), "s_suppkey").alias("nif"), F.concat("n_name", F.lit(":"), (F.col("s_suppkey") % 50).cast("string")).alias("alias"))
     hit = u.select("issuer_id", F.explode(F.array("issuer_id", "nif", "alias")).alias("ident")).distinct()
     k = F.count(F.lit(1))

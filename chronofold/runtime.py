@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Buckets of the first counting pass of heavy_keys; the driver receives at most this many rows.
@@ -88,6 +88,16 @@ def is_heavy(key: Column | str, keys: list) -> Column:
     return F.coalesce(key.isin(keys), F.lit(False)) if keys else F.lit(False)
 
 
+def number_rows(df: DataFrame, key: str, name: str, start: Column | int = 0, buckets: int = 4096) -> DataFrame:
+    """df with dense numbers from start on, one a row of unique key, the same for the same keys: offsets of hash buckets plus the place within."""
+    b = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    d = df.withColumn("_b", b)
+    n = d.groupBy("_b").count()
+    offsets = n.select("_b", (F.sum("count").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("count")).alias("_off"))  # at most as many rows as buckets
+    place = F.row_number().over(Window.partitionBy("_b").orderBy(key))
+    return d.join(offsets, "_b").withColumn(name, (F.col("_off") + place - 1 + start).cast("bigint")).drop("_b", "_off")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -1,4 +1,4 @@
-from chronofold.runtime import heavy_keys, read_pointer, shared_dir, swap_pointer
+from chronofold.runtime import heavy_keys, number_rows, read_pointer, shared_dir, swap_pointer
 
 
 def test_heavy_keys(spark):
@@ -21,3 +21,11 @@ def test_shared_dir_follows_the_session(spark):
     told = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: {"spark.checkpoint.dir": "file:///shared/folder/"}.get(k, d)))
     assert shared_dir(told) == "file:///shared/folder"
     assert shared_dir(spark).removeprefix("file://").startswith("/")
+
+
+def test_numbers_are_dense_and_repeatable(spark):
+    df = spark.createDataFrame([(f"k{i}",) for i in range(500)], "k string")
+    a = {r["k"]: r["n"] for r in number_rows(df, "k", "n", 10, buckets=16).collect()}
+    b = {r["k"]: r["n"] for r in number_rows(df.repartition(7), "k", "n", 10, buckets=16).collect()}
+    assert a == b and sorted(a.values()) == list(range(10, 510))
+    assert number_rows(df.limit(0), "k", "n").count() == 0
