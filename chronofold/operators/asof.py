@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import heavy_keys, is_heavy
+from ..runtime import heavy_keys, is_heavy, materialize
 
-DAY_US = 86_400_000_000
+#: Buckets that a heavy entity is cut into.
+CUTS = 200
 
 
 def attributes_as_of(
@@ -30,8 +31,8 @@ def attributes_as_of(
 
     Nulls in entity, event_id, version_id or either time take no part; events before the first version give no row; repeated rows
     of either side count once; empty inputs give an empty result; other columns are ignored, so their names can't clash.
-    Entities holding more than max(heavy_floor, 1/2000) of all rows are numbered by day buckets plus a running offset,
-    so that no task receives a whole hot entity.
+    Entities holding more than max(heavy_floor, 1/2000) of all rows are cut at quantiles of their times and numbered within these
+    buckets plus a running offset, so that no task receives a whole hot entity; only rows of one same instant stay together.
     Result: (event_id, version_id, *attributes).
     """
     ek, vk = entity
@@ -40,9 +41,10 @@ def attributes_as_of(
     narrow = ev.where("_k is not null and _t is not null and _e is not null").unionByName(vs.where("_k is not null and _t is not null and _v is not null"))
 
     hot = heavy_keys(narrow.select("_k"), "_k", floor=heavy_floor)
-    day = F.floor(F.unix_micros("_t") / DAY_US)
     if hot:
-        narrow = narrow.withColumn("_b", F.when(is_heavy("_k", hot), day).otherwise(F.lit(0).cast("bigint")))
+        # cuts: one row of CUTS instants a heavy key; exact quantiles aren't needed, only the same ones for all rows
+        cuts = materialize(narrow.where(is_heavy("_k", hot)).groupBy("_k").agg(F.percentile_approx(F.unix_micros("_t"), [i / CUTS for i in range(1, CUTS)], 1000).alias("_cuts")), "asof-cuts")
+        narrow = narrow.join(F.broadcast(cuts), "_k", "left").withColumn("_b", F.coalesce(F.size(F.filter("_cuts", lambda x: x < F.unix_micros("_t"))), F.lit(0))).drop("_cuts")
         part = ["_k", "_b"]
     else:
         part = ["_k"]
@@ -50,12 +52,12 @@ def attributes_as_of(
     same = F.lag("_kind").over(w).eqNullSafe(F.col("_kind")) & F.lag("_t").over(w).eqNullSafe(F.col("_t")) & F.lag("_v").over(w).eqNullSafe(F.col("_v")) & F.lag("_e").over(w).eqNullSafe(F.col("_e"))
     counted = narrow.withColumn("_same", same).withColumn("_n", F.sum(F.when((F.col("_kind") == 0) & ~F.col("_same"), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0))).where("not _same")
     if hot:
-        # offsets: at most (heavy keys) x (days) rows
-        per_day = narrow.where(is_heavy("_k", hot) & (F.col("_kind") == 0)).select("_k", "_b", "_t", "_v").distinct().groupBy("_k", "_b").count()
+        # offsets: at most (heavy keys) x CUTS rows
+        per_cut = narrow.where(is_heavy("_k", hot) & (F.col("_kind") == 0)).select("_k", "_b", "_t", "_v").distinct().groupBy("_k", "_b").count()
         before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        # an event's day may have no version of its own: carry the offset of the days of either kind
-        days = narrow.where(is_heavy("_k", hot)).select("_k", "_b").distinct().join(per_day, ["_k", "_b"], "left")
-        offsets = days.withColumn("_off", F.sum(F.coalesce("count", F.lit(0))).over(before) - F.coalesce("count", F.lit(0))).select("_k", "_b", "_off")
+        # an event's bucket may have no version of its own: carry the offset of the buckets of either kind
+        cut = narrow.where(is_heavy("_k", hot)).select("_k", "_b").distinct().join(per_cut, ["_k", "_b"], "left")
+        offsets = cut.withColumn("_off", F.sum(F.coalesce("count", F.lit(0))).over(before) - F.coalesce("count", F.lit(0))).select("_k", "_b", "_off")
         counted = counted.join(offsets, ["_k", "_b"], "left").withColumn("_n", F.col("_n") + F.coalesce("_off", F.lit(0)))
 
     numbered = counted.where("_kind = 0").select("_k", "_n", F.col("_v").alias(version_id))

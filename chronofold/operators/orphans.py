@@ -5,21 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import broadcast_checked
+from ..runtime import skew_join
+
+
+#: Most missing keys that are broadcast.
+MAX_BROADCAST = 100_000
 
 
 def orphan_references(child: DataFrame, parent: DataFrame, *, fk: str, pk: str, record: str, keep: list[str] | None = None) -> DataFrame:
     """Rows of child whose fk is not among parent's pk, once each: (record, missing_key, *keep).
 
     Left anti-join of the distinct non-null foreign keys, pre-aggregated so that a hot key is one row, then joined back. The join back broadcasts the
-    missing keys only if they are counted to be few; else it is a sort-merge join whose skewed side the planner may split, as the
-    repeated rows are removed before it. Null fk are no cases, null pk are ignored; an empty parent makes every reference an orphan.
+    missing keys only if they are counted to be few, and spreads the rows of heavy keys otherwise; repeated rows are removed before it. Null fk are no cases, null pk are ignored; an empty parent makes every reference an orphan.
     """
     keep = keep or []
     keys = child.select(F.col(fk).alias("missing_key")).where("missing_key is not null").distinct()
     missing = keys.join(parent.select(F.col(pk).alias("missing_key")).where("missing_key is not null").distinct(), "missing_key", "left_anti")
     rows = child.select(F.col(record).alias("_record"), F.col(fk).alias("missing_key"), *keep).where("missing_key is not null").distinct()
-    return rows.join(broadcast_checked(missing), "missing_key", "left_semi").select(F.col("_record").alias(record), "missing_key", *keep)
+    few = missing.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
+    back = rows.join(F.broadcast(missing), "missing_key", "left_semi") if few else skew_join(rows, missing, "missing_key", "left_semi")
+    return back.select(F.col("_record").alias(record), "missing_key", *keep)
 
 
 def late_references(child: DataFrame, parent: DataFrame, *, fk: str, pk: str, record: str, needed_at: str, known_at: str, keep: list[str] | None = None) -> DataFrame:
@@ -28,9 +33,10 @@ def late_references(child: DataFrame, parent: DataFrame, *, fk: str, pk: str, re
     parent has one row a key; null instants on either side are never late.
     """
     keep = keep or []
-    rows = child.select(F.col(record).alias("_record"), F.col(fk).alias("missing_key"), F.col(needed_at).alias("_needed"), *keep).where("missing_key is not null and _needed is not null").distinct()
+    rows = child.select(F.col(record).alias("_record"), F.col(fk).alias("missing_key"), F.col(needed_at).alias("_needed"), *keep).where("missing_key is not null and _needed is not null")
+    rows = rows.groupBy("_record", "missing_key", *keep).agg(F.min("_needed").alias("_needed"))  # late for one is late
     known = parent.select(F.col(pk).alias("missing_key"), F.col(known_at).alias("_known")).where("_known is not null")
-    return rows.join(known, "missing_key").where("_known > _needed").select(F.col("_record").alias(record), "missing_key", *keep).distinct()
+    return skew_join(rows, known, "missing_key").where("_known > _needed").select(F.col("_record").alias(record), "missing_key", *keep)
 
 
 def report(found: DataFrame, *, ref: str, period: Column) -> DataFrame:

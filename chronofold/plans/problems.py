@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import asof, hierarchy, incremental, late, orphans, snapshots
-from ..runtime import broadcast_checked, materialize, table
+from ..runtime import broadcast_checked, materialize, skew_join, table
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -47,13 +47,13 @@ def p3_changes(spark: SparkSession, d: str) -> DataFrame:
     return _p3(spark, d, True)
 
 
-def classified_events(spark: SparkSession, d: str) -> DataFrame:
+def classified_events(spark: SparkSession, d: str, *measures: str) -> DataFrame:
     first = table(spark, d, "notice_observation").where("notice_key is not null and observed_at is not null").groupBy("notice_key").agg(F.min(F.struct("observed_at", "obs_id", "run_id")).alias("_f")).select("notice_key", F.col("_f.observed_at").alias("arrival"), F.col("_f.run_id").alias("run_id"))
     backfill = table(spark, d, "crawl_run").where("run_type = 'BACKFILL'").select("run_id").distinct()
     arrived = first.join(broadcast_checked(backfill), "run_id", "left_anti").select("notice_key", "arrival")
-    notice = table(spark, d, "notice").where("notice_key is not null and filing_date is not null").select("notice_key", "filing_date").distinct()
-    events = table(spark, d, "notice_event").where("event_date is not null and notice_key is not null").select("notice_key", "event_index", "event_date", "shares").distinct()
-    rows = events.join(notice.join(arrived, "notice_key"), "notice_key").where("event_date <= filing_date")
+    notice = table(spark, d, "notice").where("notice_key is not null and filing_date is not null").groupBy("notice_key").agg(F.max("filing_date").alias("filing_date"))
+    events = table(spark, d, "notice_event").where("event_date is not null and notice_key is not null").select("notice_key", "event_index", "event_date", *measures).distinct()
+    rows = skew_join(events, notice.join(arrived, "notice_key"), "notice_key").where("event_date <= filing_date")
     return late.classify_arrivals(rows, event_date="event_date", arrival="arrival")
 
 
@@ -62,7 +62,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _deltas(spark: SparkSession, d: str) -> DataFrame:
-    return late.period_deltas(classified_events(spark, d), arrival="arrival", measures={"shares": F.expr("try_cast(shares as decimal(38,0))")})
+    return late.period_deltas(classified_events(spark, d, "shares"), arrival="arrival", measures={"shares": F.expr("try_cast(shares as decimal(38,0))")})
 
 
 def p4_deltas(spark: SparkSession, d: str) -> DataFrame:

@@ -88,6 +88,18 @@ def is_heavy(key: Column | str, keys: list) -> Column:
     return F.coalesce(key.isin(keys), F.lit(False)) if keys else F.lit(False)
 
 
+def skew_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", *, salts: int = 64, floor: int = 200_000) -> DataFrame:
+    """Join many rows of left to few a key of right. Rows of heavy keys of left are spread over salts by their hash, those of right repeated
+    for every salt, so that no task receives a whole heavy key whatever follows the join; without heavy keys it is a plain join."""
+    heavy = heavy_keys(left.select(key), key, floor=floor)
+    if not heavy:
+        return left.join(right, key, how)
+    hot = is_heavy(key, heavy)
+    a = left.withColumn("_salt", F.when(hot, F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")).otherwise(0))
+    b = right.withColumn("_salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    return a.join(b, [key, "_salt"], how).drop("_salt")
+
+
 def number_rows(df: DataFrame, key: str, name: str, start: Column | int = 0, buckets: int = 4096) -> DataFrame:
     """df with dense numbers from start on, one a row of unique key, the same for the same keys: offsets of hash buckets plus the place within."""
     b = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")

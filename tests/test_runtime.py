@@ -1,4 +1,4 @@
-from chronofold.runtime import heavy_keys, number_rows, read_pointer, shared_dir, swap_pointer
+from chronofold.runtime import heavy_keys, number_rows, read_pointer, shared_dir, skew_join, swap_pointer
 
 
 def test_heavy_keys(spark):
@@ -29,3 +29,11 @@ def test_numbers_are_dense_and_repeatable(spark):
     b = {r["k"]: r["n"] for r in number_rows(df.repartition(7), "k", "n", 10, buckets=16).collect()}
     assert a == b and sorted(a.values()) == list(range(10, 510))
     assert number_rows(df.limit(0), "k", "n").count() == 0
+
+
+def test_salted_join_is_the_plain_join(spark):
+    left = spark.createDataFrame([("hot" if i % 3 else f"k{i % 7}", i) for i in range(300)] + [(None, 1)], "k string, i int")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k3", 3)], "k string, v int")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        a, b = skew_join(left, right, "k", how, floor=10, salts=4), left.join(right, "k", how)
+        assert a.columns == b.columns and a.exceptAll(b).count() == b.exceptAll(a).count() == 0
