@@ -67,6 +67,7 @@ def shares(selection: DataFrame, available: DataFrame, targets: list[tuple[str,
     asked = spark.createDataFrame([(s, float(w), int(m)) for s, w, m in targets], "source string, target_share double, max_repeats int")
     have = available.where(F.col(source).isin([t[0] for t in targets if t[0] is not None])).groupBy(F.col(source).alias("source")).agg(F.sum(F.col(n_tokens).cast("bigint")).alias("available_tokens"), F.count(F.lit(1)).alias("available_docs"))
     used = selection.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("used_tokens"), F.count(F.lit(1)).alias("used_docs"), F.sum("copies").alias("copies"), F.max("copies").alias("most_copies"))
-    rows = asked.join(F.broadcast(have), "source", "left").join(F.broadcast(used), "source", "left")  # at most one row a target.na.fill(0)
+    # both sides have at most one row a target
+    rows = asked.join(F.broadcast(have), "source", "left").join(F.broadcast(used), "source", "left").na.fill(0)
     total = F.sum("used_tokens").over(Window.partitionBy())
     return rows.withColumn("actual_share", F.when(total > 0, F.col("used_tokens") / total).otherwise(0.0))
