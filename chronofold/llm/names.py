@@ -338,8 +338,8 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
 
     def shorten(batches):
         for pdf in batches:
-            out = [(e, f) for e in pdf["entity"] for f in forms_of(e)]
-            yield pd.DataFrame(out, columns=["entity", "form"])
+            out = [(e, f, int(not _lexical(e))) for e in pdf["entity"] for f in forms_of(e)]
+            yield pd.DataFrame(out, columns=["entity", "form", "odd"])
 
     # 3a. spelled-out forms and their misspellings
     complete = forms.where("cost = 0 and level = 6").select("form").distinct()
@@ -354,12 +354,12 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
     roots = complete.select("form").join(step.select(F.col("wrong").alias("form"), F.col("form").alias("entity")), "form", "left").select("form", F.coalesce("entity", "form").alias("entity"))
     roots = materialize(roots, "names-complete")
     first = forms.where("level = 6").join(roots, "form").select("name", "entity", "cost")
-    whole = _unique(first.join(forms.where("own_level = 6").select("name").distinct(), "name", "left_semi"))
+    whole = _unique(first.withColumn("odd", F.lit(0)).join(forms.where("own_level = 6").select("name").distinct(), "name", "left_semi"))
 
     # 3b. less specific spellings: forms that entities can be shortened to
-    short = roots.select("entity").distinct().mapInPandas(shorten, "entity string, form string").hint("merge")
+    short = roots.select("entity").distinct().mapInPandas(shorten, "entity string, form string, odd int").hint("merge")
     less = forms.where("own_level < 6")
-    hits = less.where("level < 6").join(short, "form").select("name", "entity", "cost").unionByName(first.join(less.select("name").distinct(), "name", "left_semi"))
+    hits = less.where("level < 6").join(short, "form").select("name", "entity", "cost", "odd").unionByName(first.withColumn("odd", F.lit(0)).join(less.select("name").distinct(), "name", "left_semi"))
     partial = _unique(hits)
     linked = materialize(whole.unionByName(partial), "names-linked")
 
@@ -367,8 +367,8 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
     left = forms.where("own_level > 0").join(linked.select("name"), "name", "left_anti")
     left = materialize(left, "names-left")
     own = left.where("cost = 0 and form = own").select("form", "level").distinct()
-    short2 = own.select(F.col("form").alias("entity")).mapInPandas(shorten, "entity string, form string").hint("merge")
-    up = _unique(left.where("cost = 0 and form = own").select(F.col("form").alias("name")).distinct().join(short2, F.col("name") == short2["form"]).select("name", "entity", F.lit(0).alias("cost"))).select(F.col("name").alias("own"), "entity")
+    short2 = own.select(F.col("form").alias("entity")).mapInPandas(shorten, "entity string, form string, odd int").hint("merge")
+    up = _unique(left.where("cost = 0 and form = own").select(F.col("form").alias("name")).distinct().join(short2, F.col("name") == short2["form"]).select("name", "entity", F.lit(0).alias("cost"), "odd")).select(F.col("name").alias("own"), "entity")
     rest = left.select("name", "own").distinct().join(up, "own", "left").select("name", F.coalesce("entity", "own").alias("entity"))
     return linked.unionByName(rest)
 
@@ -380,9 +380,14 @@ def _specific(key: str) -> int:
     return 6 - (2 if g.endswith(".") else 0) - (3 if s2 == "-" else 1 if s2.endswith(".") else 0)
 
 
+def _lexical(key: str) -> bool:
+    """Whether all given names of a form are known ones: others are misspelled beyond two edits."""
+    return key[0] == "O" or all(g in NICKNAMES for g in key.split("|")[1].split())
+
+
 def _unique(hits: DataFrame) -> DataFrame:
-    """The entity of each name at its least cost, where the form is so rare that it is only one."""
-    best = hits.groupBy("name", "entity").agg(F.min("cost").alias("cost"))
+    """The entity of each name at its least cost (known given names before others), where the form is so rare that it is only one."""
+    best = hits.groupBy("name", "entity").agg(F.min(F.struct("cost", "odd")).alias("cost"))
     w = Window.partitionBy("name")
     best = best.withColumn("_least", F.min("cost").over(w)).where("cost = _least")
     return best.groupBy("name").agg(F.min("entity").alias("entity"), F.count(F.lit(1)).alias("_k")).where("_k = 1").select("name", "entity")
