@@ -56,6 +56,8 @@ _LEGAL_WORDS = frozenset(p for k in LEGAL for p in k.split())
 LEXICON = frozenset(_CANON) | frozenset(COMPOUND) | frozenset(p for w in _ACT for p in w.split("-") if len(p) > 3) | frozenset(p for p in _LEGAL_WORDS if len(p) > 3)
 #: Gain of a correction to a word of the lexicon.
 LEXICAL = 1_000_000
+#: Gain of corrections that lead to a form that nobody typed.
+MUCH_COMMONER = 6
 _LEGAL_LONGEST = sorted(LEGAL, key=lambda k: -len(k.split()))
 
 
@@ -347,19 +349,28 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
     # corrected tokens are commoner (of equals, the form is the first by alphabet), so no form is corrected to itself in the end
     better = alt.where((F.col("gain") > 0) | ((F.col("gain") == 0) & (F.col("form") < F.col("wrong"))))
     step = better.groupBy("wrong").agg(F.min_by("form", F.struct("cost", -F.col("gain"), "form")).alias("form"))
-    step = materialize(step, "names-misspelled")
+    # misspellings of one form that nobody typed rightly: two different ones that the same commoner tokens correct to the same form
+    lone = forms.where((F.col("level") == 6) & (F.col("cost") > 0) & (F.col("own_level") == 6) & (F.col("own") != F.col("form")) & (F.col("gain") >= MUCH_COMMONER)).select(F.col("own").alias("wrong"), "form", "cost", "gain").distinct()
+    lone = lone.join(complete.select("form"), "form", "left_anti").join(step.select("wrong"), "wrong", "left_anti")
+    met = lone.groupBy("form").agg(F.countDistinct("wrong").alias("_k")).where("_k > 1").select("form")
+    untyped = lone.join(met, "form").groupBy("wrong").agg(F.min_by("form", F.struct("cost", -F.col("gain"), "form")).alias("form"))
+    step = materialize(step.unionByName(untyped), "names-misspelled")
     for _ in range(3):  # a misspelling of a misspelling
         nxt = step.select(F.col("wrong").alias("form"), F.col("form").alias("_up"))
         step = step.join(nxt, "form", "left").select("wrong", F.coalesce("_up", "form").alias("form"))
     roots = complete.select("form").join(step.select(F.col("wrong").alias("form"), F.col("form").alias("entity")), "form", "left").select("form", F.coalesce("entity", "form").alias("entity"))
-    roots = materialize(roots, "names-complete")
+    roots = materialize(roots.unionByName(roots.select(F.col("entity").alias("form"), "entity")).distinct(), "names-complete")
     first = forms.where("level = 6").join(roots, "form").select("name", "entity", "cost")
     whole = _unique(first.withColumn("odd", F.lit(0)).join(forms.where("own_level = 6").select("name").distinct(), "name", "left_semi"))
 
     # 3b. less specific spellings: forms that entities can be shortened to
-    short = roots.select("entity").distinct().mapInPandas(shorten, "entity string, form string, odd int").hint("merge")
+    short = roots.select("entity").distinct().mapInPandas(shorten, "entity string, form string, odd int").select("entity", "form", "odd", F.lit(0).alias("far"))
+    # right but short spellings of an entity whose full spellings are all wrong: what these may be corrected to is shortened as well
+    fixed = lone.join(roots.select(F.col("form").alias("wrong"), F.col("entity").alias("_e")), "wrong").groupBy(F.col("form").alias("entity"), "_e").agg(F.min("cost").alias("far"))
+    reach = fixed.select("entity").distinct().mapInPandas(shorten, "entity string, form string, odd int")
+    short = short.unionByName(reach.hint("merge").join(fixed, "entity").select(F.col("_e").alias("entity"), "form", "odd", "far")).groupBy("entity", "form").agg(F.min("odd").alias("odd"), F.min("far").alias("far")).hint("merge")
     less = forms.where("own_level < 6")
-    hits = less.where("level < 6").join(short, "form").select("name", "entity", "cost", "odd").unionByName(first.withColumn("odd", F.lit(0)).join(less.select("name").distinct(), "name", "left_semi"))
+    hits = less.where("level < 6").join(short, "form").select("name", "entity", (F.col("cost") + F.col("far")).alias("cost"), "odd").unionByName(first.withColumn("odd", F.lit(0)).join(less.select("name").distinct(), "name", "left_semi"))
     partial = _unique(hits)
     linked = materialize(whole.unionByName(partial), "names-linked")
 
