@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..runtime import materialize
@@ -16,20 +16,26 @@ def _splitter(node: Column, every: int) -> Column:
     return F.pmod(F.xxhash64(node), F.lit(every)) == 0
 
 
-def _double(state: DataFrame, open_kind: str, name: str, limit: int) -> DataFrame:
+def _store(df: DataFrame, name: str, open_kind: str) -> tuple[DataFrame, int]:
+    """df as a written table, and how many of its rows are of open_kind, counted while it is written."""
+    seen = Observation()
+    out = materialize(df.observe(seen, F.count_if(F.col("kind") == open_kind).alias("n")), name)
+    return out, seen.get["n"]
+
+
+def _double(state: DataFrame, still_open: int, open_kind: str, name: str, limit: int) -> tuple[DataFrame, int]:
     """Pointer doubling: rows of open_kind take over the pointer of the row they point at, until none is open or the walks
     have 2**limit steps. Every round is a written table, so neither lineage nor a lost executor makes it start again."""
     for _ in range(limit):
-        still = state.where(F.col("kind") == open_kind)
-        if still.isEmpty():
+        if not still_open:
             break
         ahead = state.select(F.col("node").alias("cur"), F.col("cur").alias("_cur"), F.col("dist").alias("_dist"), F.col("kind").alias("_kind"), *([F.col("seg").alias("_seg")] if "seg" in state.columns else []))
-        moved = still.join(ahead, "cur").select(
+        moved = state.where(F.col("kind") == open_kind).join(ahead, "cur").select(
             "node", F.col("_cur").alias("cur"), (F.col("dist") + F.col("_dist")).alias("dist"), F.col("_kind").alias("kind"),
             *([F.concat("seg", "_seg").alias("seg")] if "seg" in state.columns else []),
         )
-        state = materialize(state.where(F.col("kind") != open_kind).unionByName(moved), name)
-    return state
+        state, still_open = _store(state.where(F.col("kind") != open_kind).unionByName(moved), name, open_kind)
+    return state, still_open
 
 
 def resolve_hierarchy(edges: DataFrame, *, parent: str = "parent", child: str = "child", every: int = 8, walk_rounds: int = 7, paths: bool = False) -> DataFrame:
@@ -48,17 +54,18 @@ def resolve_hierarchy(edges: DataFrame, *, parent: str = "parent", child: str =
     e = edges.select(F.col(child).alias("node"), F.col(parent).alias("up")).where("node is not null and up is not null").distinct()
     up = materialize(e.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("up").alias("up")), "hierarchy-up")
     single, several = up.where("n = 1"), up.where("n > 1").select("node")
-    n_nodes = single.count()
+    n_nodes = up.count()
     ahead = up.select(F.col("node").alias("up"), F.col("n").alias("_n"))
     kind = F.when(F.col("_n").isNull(), "T").when(F.col("_n") > 1, "A").when(_splitter(F.col("up"), every), "S").otherwise("I")
     start = single.join(ahead, "up", "left").select("node", F.col("up").alias("cur"), F.lit(1).cast("bigint").alias("dist"), kind.alias("kind"), *([F.array("up").alias("seg")] if paths else []))
-    state = _double(materialize(start, "hierarchy-walk"), "I", "hierarchy-walk", walk_rounds)
-    left = state.where("kind = 'I'").count()
+    state, left = _store(start, "hierarchy-walk", "I")
+    state, left = _double(state, left, "I", "hierarchy-walk", walk_rounds)
     if left:  # no splitter within 2**walk_rounds steps: these point only at each other or at solved nodes
-        state = _double(state, "I", "hierarchy-rest", max(1, math.ceil(math.log2(n_nodes + 1)) - walk_rounds + 1))
+        state, left = _double(state, left, "I", "hierarchy-rest", max(1, math.ceil(math.log2(n_nodes + 1)) - walk_rounds + 1))
         state = state.withColumn("kind", F.when(F.col("kind") == "I", "C").otherwise(F.col("kind")))
-    reduced = materialize(state.where(_splitter(F.col("node"), every)), "hierarchy-reduced")
-    reduced = _double(reduced, "S", "hierarchy-reduced", math.ceil(math.log2(reduced.count() + 1)) + 1)
+    reduced, left = _store(state.where(_splitter(F.col("node"), every)), "hierarchy-reduced", "S")
+    if left:
+        reduced, left = _double(reduced, left, "S", "hierarchy-reduced", math.ceil(math.log2(reduced.count() + 1)) + 1)
     solved = reduced.select(F.col("node").alias("cur"), F.col("cur").alias("_cur"), F.col("dist").alias("_dist"), F.when(F.col("kind") == "S", "C").otherwise(F.col("kind")).alias("_kind"), *([F.col("seg").alias("_seg")] if paths else []))
     ends = state.where("kind <> 'S'").select("node", "cur", "dist", "kind", *(["seg"] if paths else []))
     via = state.where("kind = 'S'").join(solved, "cur").select("node", F.col("_cur").alias("cur"), (F.col("dist") + F.col("_dist")).alias("dist"), F.col("_kind").alias("kind"), *([F.concat("seg", "_seg").alias("seg")] if paths else []))
