@@ -60,17 +60,20 @@ def status_as_of(obs: DataFrame, relations: DataFrame, known_at: Column) -> Data
     """
     seen = obs.where((F.col("observed_at") <= known_at) & F.col("notice_key").isNotNull())
     last = seen.groupBy("notice_key").agg(F.max_by(F.struct("status_observed"), F.struct("observed_at", "obs_id")).alias("_s"))
-    known = first_observed(obs, present_first=True).where(F.col("first_observed_at") <= known_at).select(F.col("notice_key").alias("annulling_key"))
+    # only annulling notices matter here: the observations of all others needn't be grouped
+    annulling = relations.where("relation_type = 'ANNULS'").select(F.col("annulling_key").alias("notice_key")).distinct()
+    known = first_observed(obs.join(annulling, "notice_key", "left_semi"), present_first=True).where(F.col("first_observed_at") <= known_at).select(F.col("notice_key").alias("annulling_key"))
     gone = relations.where("relation_type = 'ANNULS'").join(known, "annulling_key", "left_semi").select(F.col("annulled_key").alias("notice_key"), F.lit(True).alias("_gone")).distinct()
     return last.join(gone, "notice_key", "left").select("notice_key", F.when(F.col("_gone"), "CANCELLED").otherwise(F.coalesce("_s.status_observed", F.lit("ACTIVE"))).alias("status"))
 
 
 def cancelled_as_of(obs: DataFrame, relations: DataFrame, known_at: Column | None = None) -> DataFrame:
     """(notice_key): targets of ANNULS, ambiguous and cyclic ones included, whose annulling notice was observed by then."""
-    known = first_observed(obs)
-    if known_at is not None:
-        known = known.where(F.col("first_observed_at") <= known_at)
-    return relations.where("relation_type = 'ANNULS' and annulled_key is not null").join(known.select(F.col("notice_key").alias("annulling_key")), "annulling_key", "left_semi").select(F.col("annulled_key").alias("notice_key")).distinct()
+    edges = relations.where("relation_type = 'ANNULS' and annulled_key is not null and annulling_key is not null").select("annulling_key", F.col("annulled_key").alias("notice_key"))
+    # observed by then: some observation is, so the bound reaches the scan and nothing need be grouped
+    seen = obs.where(F.col("observed_at").isNotNull() if known_at is None else F.col("observed_at") <= known_at)
+    known = seen.select(F.col("notice_key").alias("annulling_key")).join(edges.select("annulling_key").distinct(), "annulling_key", "left_semi").distinct()
+    return edges.join(known, "annulling_key", "left_semi").select("notice_key").distinct()
 
 
 def disappearance_heads(obs: DataFrame) -> DataFrame:
