@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Buckets of the first counting pass of heavy_keys; the driver receives at most this many rows.
+#: Buckets of the first counting pass of heavy_keys; the driver receives those with more than the floor's rows.
 HEAVY_BUCKETS = 1 << 16
 
 
@@ -75,9 +75,10 @@ def heavy_keys(df: DataFrame, key: str, floor: int = 200_000, share: float = 1 /
     """
     bucket = F.pmod(F.xxhash64(key), F.lit(HEAVY_BUCKETS)).cast("int")
     df = df.where(F.col(key).isNotNull())
-    counts = [(r[0], r[1]) for r in df.groupBy(bucket.alias("b")).count().collect()]
-    limit = max(floor, sum(n for _, n in counts) * share)
-    heavy = [b for b, n in counts if n > limit]
+    counts = df.groupBy(bucket.alias("b")).count()
+    total, large = counts.agg(F.sum("count"), F.collect_list(F.when(F.col("count") > floor, F.struct("b", "count")))).first()
+    limit = max(floor, (total or 0) * share)
+    heavy = [b for b, n in large if n > limit]
     if not heavy:
         return []
     return [r[0] for r in df.where(bucket.isin(heavy)).groupBy(key).count().where(F.col("count") > limit).collect()]
