@@ -404,19 +404,20 @@ def dataset_info(spark, d):
     return C.dataset_info(table(spark, d, "notice"), table(spark, d, "notice_observation"), table(spark, d, "source_fact"), table(spark, d, "ledger_event"), table(spark, d, "crawl_run"))
 
 
-@query("""SELECT l_orderkey, sum(v) AS computed_volume, CASE WHEN count(DISTINCT l_linestatus) = 1 AND sum(v) <> 0 THEN CAST(floor(10000 * (CAST(sum(CAST(p * v AS DECIMAL(38,8))) AS DOUBLE) / CAST(sum(v) AS DOUBLE))) AS BIGINT) END AS computed_vwap_e4, CASE WHEN count(DISTINCT l_linestatus) = 1 THEN min(l_linestatus) END AS currency
+@query("""SELECT l_orderkey, CAST(sum(v) AS DOUBLE) AS computed_volume, CASE WHEN count(DISTINCT l_linestatus) = 1 AND sum(v) <> 0 THEN CAST(floor(10000 * (CAST(sum(CAST(p * v AS DECIMAL(38,8))) AS DOUBLE) / CAST(sum(v) AS DOUBLE))) AS BIGINT) END AS computed_vwap_e4, CASE WHEN count(DISTINCT l_linestatus) = 1 THEN min(l_linestatus) END AS currency
  FROM (SELECT l_orderkey, l_linestatus, CAST(l_extendedprice AS DECIMAL(18,4)) AS p, CAST(l_quantity AS DECIMAL(18,4)) AS v FROM lineitem) GROUP BY 1""")
 def vwap_qa(spark, d):
     r = A.vwap(table(spark, d, "lineitem"), ["l_orderkey"], F.col("l_extendedprice"), F.col("l_quantity"), F.col("l_linestatus"))
-    return r.select("l_orderkey", "computed_volume", F.floor(10000 * F.col("computed_vwap")).alias("computed_vwap_e4"), "currency")
+    return r.select("l_orderkey", F.col("computed_volume").cast("double").alias("computed_volume"), F.floor(10000 * F.col("computed_vwap")).alias("computed_vwap_e4"), "currency")
 
 
 @query("""WITH s AS (SELECT l_orderkey, coalesce(sum(CAST(l_quantity AS DECIMAL(18,2))) FILTER (WHERE l_returnflag = 'A'), 0) AS computed_declared_a, coalesce(sum(CAST(l_quantity AS DECIMAL(18,2))) FILTER (WHERE l_returnflag = 'R'), 0) AS computed_declared_r FROM lineitem GROUP BY 1),
  o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 10 END AS a, CASE WHEN o_orderkey % 5 = 0 THEN 20 END AS r FROM (SELECT DISTINCT o_orderkey FROM orders))
- SELECT s.*, CASE WHEN coalesce(a, 0) = computed_declared_a THEN 'MATCH' ELSE 'DIVERGENT' END AS qa_declared_a, CASE WHEN coalesce(r, 0) = computed_declared_r THEN 'MATCH' ELSE 'DIVERGENT' END AS qa_declared_r FROM s LEFT JOIN o ON o.o_orderkey = s.l_orderkey""")
+ SELECT l_orderkey, CAST(computed_declared_a AS DOUBLE) AS computed_declared_a, CAST(computed_declared_r AS DOUBLE) AS computed_declared_r, CASE WHEN coalesce(a, 0) = computed_declared_a THEN 'MATCH' ELSE 'DIVERGENT' END AS qa_declared_a, CASE WHEN coalesce(r, 0) = computed_declared_r THEN 'MATCH' ELSE 'DIVERGENT' END AS qa_declared_r FROM s LEFT JOIN o ON o.o_orderkey = s.l_orderkey""")
 def flow_qa(spark, d):
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey")).distinct().select("l_orderkey", F.when(F.col("l_orderkey") % 3 == 0, 10).alias("declared_a"), F.when(F.col("l_orderkey") % 5 == 0, 20).alias("declared_r"))
-    return A.flow_qa(table(spark, d, "lineitem"), ["l_orderkey"], "l_returnflag", F.col("l_quantity").cast("decimal(18,2)"), o, {"A": "declared_a", "R": "declared_r"})
+    r = A.flow_qa(table(spark, d, "lineitem"), ["l_orderkey"], "l_returnflag", F.col("l_quantity").cast("decimal(18,2)"), o, {"A": "declared_a", "R": "declared_r"})
+    return r.withColumns({c: F.col(c).cast("double") for c in ("computed_declared_a", "computed_declared_r")})
 
 
 @query(f"SELECT n.notice_key, coalesce(e.c, 0) AS n_events, coalesce(f.c, 0) AS n_facts FROM (SELECT DISTINCT notice_key FROM notice) n LEFT JOIN (SELECT notice_key, count(*) AS c FROM (SELECT DISTINCT notice_key, event_index FROM notice_event) GROUP BY 1) e ON e.notice_key = n.notice_key LEFT JOIN (SELECT notice_key, count(DISTINCT fact_id) AS c FROM source_fact GROUP BY 1) f ON f.notice_key = n.notice_key")
