@@ -35,12 +35,18 @@ class SnapshotIndex:
         name = f"chronofold_idx_{uuid.uuid4().hex}"
         cols = ", ".join(f"`{k}`" for k in self.keys)
         self.spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY ({cols}) SORTED BY ({cols}) INTO {self.buckets} BUCKETS LOCATION '{self.folder}/{version}'")
-        return self.spark.table(name)
+        return self._take(name)
+
+    def _take(self, name: str) -> DataFrame:
+        """The table as a frame; its name leaves the catalog, its files stay."""
+        df = self.spark.table(name)
+        self.spark.sql(f"DROP TABLE {name}")
+        return df
 
     def _write(self, df: DataFrame, version: str) -> DataFrame:
         name = f"chronofold_idx_{uuid.uuid4().hex}"
         (df.write.mode("overwrite").bucketBy(self.buckets, *self.keys).sortBy(*self.keys).option("path", f"{self.folder}/{version}").saveAsTable(name))
-        return self.spark.table(name)
+        return self._take(name)
 
     def apply(self, snapshot: DataFrame, *, keep_values: bool = False) -> DataFrame:
         """Changes of snapshot against the index: keys, change (ADDED, REMOVED, CHANGED), and with keep_values old_*/new_* values.
