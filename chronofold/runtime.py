@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -14,7 +15,17 @@ from pyspark.sql import functions as F
 HEAVY_BUCKETS = 1 << 16
 
 
+def reach_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever their working directory; a cluster that doesn't
+    share the path needs the package with --py-files."""
+    env, root = spark.sparkContext.environment, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..errors import LedgerError
+from ..runtime import reach_package
 
 
 class Dataset:
     """Tables of a folder. Missing ones are empty with their schema; columns that a file lacks are null, further ones stay."""
 
     def __init__(self, spark: SparkSession, path: str):
+        reach_package(spark)
         self.spark, self.path = spark, path.rstrip("/")
         p = spark._jvm.org.apache.hadoop.fs.Path(self.path)
         if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
