@@ -62,9 +62,9 @@ def mix(docs: DataFrame, targets: list[tuple[str, float, int]], *, doc_id: str,
 
 
 def shares(selection: DataFrame, available: DataFrame, targets: list[tuple[str, float, int]], *, source: str, n_tokens: str) -> DataFrame:
-    """Per target: its share as asked and as reached, tokens and documents available and used."""
+    """Per target: its share as asked and as reached, tokens and documents available and used. A target without source is left out, a null share or cap is 0."""
     spark: SparkSession = selection.sparkSession
-    asked = spark.createDataFrame([(s, float(w), int(m)) for s, w, m in targets], "source string, target_share double, max_repeats int")
+    asked = spark.createDataFrame([(s, float(w or 0), int(m or 0)) for s, w, m in targets if s is not None], "source string, target_share double, max_repeats int")
     have = available.where(F.col(source).isin([t[0] for t in targets if t[0] is not None])).groupBy(F.col(source).alias("source")).agg(F.sum(F.col(n_tokens).cast("bigint")).alias("available_tokens"), F.count(F.lit(1)).alias("available_docs"))
     used = selection.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("used_tokens"), F.count(F.lit(1)).alias("used_docs"), F.sum("copies").alias("copies"), F.max("copies").alias("most_copies"))
     # both sides have at most one row a target

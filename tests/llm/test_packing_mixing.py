@@ -107,6 +107,8 @@ def test_out_of_reach_and_edge_cases(spark):
     plan = mixing.plan_mix({"a": 100, "b": 10}, [("a", 0.5, 1), ("b", 0.5, 2)], total_tokens=100)
     assert plan["b"]["out_of_reach"] and plan["b"]["expected"] == 2 and not plan["a"]["out_of_reach"]
     assert mixing.plan_mix({}, [("a", 1.0, 1)]) == {} and mixing.plan_mix({"a": 5}, [("a", 0.0, 1), (None, 1.0, 1)]) == {}
+    sel, sh = mix(spark, [(1, "a", 5, 0)], [("a", 1.0, 1), (None, 0.5, 1), ("b", None, 2), ("c", 0.5, None)])
+    assert sorted((r["source"], r["actual_share"]) for r in sh.collect()) == [("a", 1.0), ("b", 0.0), ("c", 0.0)]
     sel, sh = mix(spark, [], [("a", 1.0, 1)])
     assert sel.count() == 0 and sh.first()["actual_share"] == 0
     sel, _ = mix(spark, [(1, "a", 0, 0), (2, "a", None, 0), (3, None, 5, 0), (None, "a", 5, 0), (4, "a", 5, 0), (4, "a", 5, 0)], [("a", 1.0, 2)])
