@@ -37,3 +37,14 @@ def test_salted_join_is_the_plain_join(spark):
     for how in ("inner", "left", "left_semi", "left_anti"):
         a, b = skew_join(left, right, "k", how, floor=10, salts=4), left.join(right, "k", how)
         assert a.columns == b.columns and a.exceptAll(b).count() == b.exceptAll(a).count() == 0
+
+
+def test_workers_can_import_the_package(spark):
+    import os
+
+    from chronofold.runtime import reach_package
+
+    reach_package(spark)
+    reach_package(spark)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    assert spark.sparkContext.environment["PYTHONPATH"].split(os.pathsep).count(root) == 1
