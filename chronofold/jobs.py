@@ -90,7 +90,7 @@ def ingest_pages(spark: SparkSession, path: str, pages: DataFrame, universe: Dat
     return done
 
 
-def reconcile(spark: SparkSession, path: str, *, run_id: str, surface: str, observed_at: datetime, filed_from: str = "1900-01-01") -> int:
+def reconcile(spark: SparkSession, path: str, *, run_id: str, surface: str, observed_at: datetime, filed_from: str | None = None) -> int:
     """Append an absence for every notice of a surface that the run did not list; status propagation stays a query over the relations."""
     d = Dataset.open(spark, path)
     run = spark.createDataFrame([(run_id, surface, filed_from)], "run_id string, surface string, from_date string").withColumn("from_date", F.col("from_date").cast("date"))

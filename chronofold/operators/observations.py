@@ -89,8 +89,11 @@ def disappearance_heads(obs: DataFrame) -> DataFrame:
 
 
 def mark_disappearances(notice: DataFrame, run_seen: DataFrame, runs: DataFrame) -> DataFrame:
-    """(run_id, notice_key): notices of a run's surfaces that the run did not list. runs: (run_id, surface, from_date), from_date bounding the scope."""
-    scope = notice.join(broadcast_checked(runs.withColumnRenamed("surface", "source_surface")), "source_surface").where(F.col("filing_date") >= F.col("from_date")).select("run_id", "notice_key").distinct()
+    """(run_id, notice_key): notices of a run's surfaces that the run did not list. runs: (run_id, surface, from_date), from_date bounding the scope.
+
+    A null from_date bounds nothing; notices of unknown filing_date are in every scope.
+    """
+    scope = notice.join(broadcast_checked(runs.withColumnRenamed("surface", "source_surface")), "source_surface").where(F.col("from_date").isNull() | F.col("filing_date").isNull() | (F.col("filing_date") >= F.col("from_date"))).select("run_id", "notice_key").distinct()
     return scope.join(run_seen, ["run_id", "notice_key"], "left_anti")
 
 

@@ -118,11 +118,22 @@ def blob_dedupe(spark, d):
     return table(spark, d, "documents").where("text is not null").groupBy(F.sha2("text", 256).alias("raw_sha256")).agg(F.count(F.lit(1)).alias("n_references"), F.min("doc_id").alias("first_doc"))
 
 
+def _surface_runs(spark, d, from_date):
+    return table(spark, d, "crawl_run").where("run_type = 'RECONCILIATION' and status = 'OK'").select("run_id", F.get(F.split("scope", ":"), F.lit(1)).alias("surface"), F.lit(from_date).cast("date").alias("from_date")).distinct()
+
+
 @query(f"""SELECT r.run_id, n.notice_key FROM (SELECT DISTINCT run_id, split_part(scope, ':', 2) AS surface FROM crawl_run WHERE run_type = 'RECONCILIATION' AND status = 'OK') r
  JOIN (SELECT DISTINCT notice_key, source_surface FROM notice WHERE filing_date >= DATE '2024-01-01') n ON n.source_surface = r.surface WHERE NOT EXISTS (SELECT 1 FROM run_seen s WHERE s.run_id = r.run_id AND s.notice_key = n.notice_key)""")
 def scoped_disappearances(spark, d):
-    runs = table(spark, d, "crawl_run").where("run_type = 'RECONCILIATION' and status = 'OK'").select("run_id", F.get(F.split("scope", ":"), F.lit(1)).alias("surface"), F.lit("2024-01-01").cast("date").alias("from_date")).distinct()
-    return O.mark_disappearances(table(spark, d, "notice"), table(spark, d, "run_seen"), runs)
+    """Absences among the notices filed since 2024-01-01, as the SQL has it: those of unknown filing_date are no cases here."""
+    return O.mark_disappearances(table(spark, d, "notice").where("filing_date is not null"), table(spark, d, "run_seen"), _surface_runs(spark, d, "2024-01-01"))
+
+
+@query("""SELECT r.run_id, n.notice_key FROM (SELECT DISTINCT run_id, split_part(scope, ':', 2) AS surface FROM crawl_run WHERE run_type = 'RECONCILIATION' AND status = 'OK') r
+ JOIN (SELECT DISTINCT notice_key, source_surface FROM notice) n ON n.source_surface = r.surface WHERE NOT EXISTS (SELECT 1 FROM run_seen s WHERE s.run_id = r.run_id AND s.notice_key = n.notice_key)""")
+def surface_disappearances(spark, d):
+    """Absences among all notices of the run's surface, whenever they were filed."""
+    return O.mark_disappearances(table(spark, d, "notice"), table(spark, d, "run_seen"), _surface_runs(spark, d, None))
 
 
 @query(f"SELECT n.notice_key, n.issuer_id, n.filing_date FROM {_N} n LEFT JOIN {_DOC} k ON k.notice_key = n.notice_key WHERE (n.source_surface = 'nod' OR (n.source_surface IN ('ps', 'ac') AND n.filing_date >= DATE '{S.DOCUMENTS_FROM}')) AND (k.doc_status IS NULL OR k.doc_status IN ('UNSUPPORTED_TEMPLATE')) AND (n.filing_date IS NULL OR n.filing_date >= DATE '2020-01-01')")

@@ -130,3 +130,11 @@ def test_heavy_and_empty_inputs_do_not_fail(spark):
     empty = obs(spark, ("r", "a", utc(2024, 1, 1), "ACTIVE")).limit(0)
     assert O.first_observation(empty).count() == O.disappearance_heads(empty).count() == O.project(empty).count() == 0
     assert R.annulment_status(spark.createDataFrame([], "parent string, child string")).count() == 0
+
+
+def test_disappearances_of_old_and_undated_notices(spark, rows):
+    notice = spark.createDataFrame([("ps:1", "ps", date(2016, 5, 1)), ("ps:2", "ps", None), ("ps:3", "ps", date(2025, 1, 1)), ("ps:4", "ps", date(2025, 1, 1)), ("nod:1", "nod", None)], "notice_key string, source_surface string, filing_date date")
+    seen = spark.createDataFrame([("r", "ps:3")], "run_id string, notice_key string")
+    run = lambda d: spark.createDataFrame([("r", "ps", d)], "run_id string, surface string, from_date date")
+    assert rows(O.mark_disappearances(notice, seen, run(None)), "notice_key") == [("ps:1",), ("ps:2",), ("ps:4",)]
+    assert rows(O.mark_disappearances(notice, seen, run(date(2024, 1, 1))), "notice_key") == [("ps:2",), ("ps:4",)]
