@@ -162,12 +162,12 @@ def _organisation(tokens: list[str]) -> dict | None:
     return {"kind": "O", "brand": brand, "act": act or "-", "qual": " ".join(sorted(q.rstrip(".") for q in qual)), "legal": legal}
 
 
-def _person(tokens: list[str]) -> dict | None:
-    """Given names (canonical, or initials) and surnames, whatever their order."""
+def _person(tokens: list[str], more: frozenset[str] = frozenset()) -> dict | None:
+    """Given names (canonical, or initials) and surnames, whatever their order. more: given names besides the listed ones."""
     t = list(tokens)
     while len(t) > 2 and t[0] in TITLES:
         t = t[1:]
-    known = lambda x: x in _CANON or x in COMPOUND
+    known = lambda x: x in _CANON or x in COMPOUND or x in more
     if len(t) > 2 and t[0] == "d." and any(known(x) or _initial(x) for x in t[1:]):
         t = t[1:]  # Don
     if "," in t:
@@ -219,12 +219,37 @@ def _person(tokens: list[str]) -> dict | None:
     return {"kind": "P", "given": " ".join(given) if full else None, "gi": "".join(x[0] for x in given), "s1": last[0], "s2": second[0] if second and not _initial(second[0]) else None, "s2i": second[0][0] if second else None, "lexical": all(x in NICKNAMES for x in given)}
 
 
-def parse(tokens: list[str]) -> dict | None:
-    return _organisation(tokens) or _person(tokens)
+def _other(tokens: list[str]) -> dict | None:
+    """What no rule reads: its words without titles, particles and legal form, whatever their order; None if there is no word."""
+    t = [x for x in tokens if x not in (",", "&")]
+    while len(t) > 1 and t[0] in TITLES:
+        t = t[1:]
+    t = [x for x in t if x not in PARTICLES]
+    for k in _LEGAL_LONGEST:
+        w = k.split()
+        if len(t) > len(w) and t[-len(w) :] == w:
+            t = t[: -len(w)]
+            break
+    return {"kind": "X", "words": sorted(t)} if any(c.isalnum() for x in t if not _initial(x) for c in x) else None
+
+
+def parse(tokens: list[str], more: frozenset[str] = frozenset()) -> dict | None:
+    return _organisation(tokens) or _person(tokens) or (_person(tokens, more) if more else None)
+
+
+def positions(tokens: list[str]) -> list[tuple[str, int]]:
+    """Unlisted words of a person's name: (word, 1) behind the comma, where given names stand, (word, 0) elsewhere."""
+    r = parse(tokens)
+    if r is None or r["kind"] != "P":
+        return []
+    cut = tokens.index(",") if "," in tokens else len(tokens)
+    return [(x, int(k > cut)) for k, x in enumerate(tokens) if len(x) > 2 and x not in _CANON and x not in COMPOUND and x not in TITLES and x not in PARTICLES]
 
 
 def key_of(r: dict) -> tuple[str, int]:
-    """The record's own form, and how specific it is (6: everything is spelled out)."""
+    """The record's own form, and how specific it is (6: everything is spelled out; 0: unread)."""
+    if r["kind"] == "X":
+        return f"X|{' '.join(r['words'])}", 0
     if r["kind"] == "O":
         return f"O|{' '.join(r['brand'])}|{r['act']}|{r['qual']}", 6
     g = r["given"] or f"{r['gi']}."
@@ -234,7 +259,7 @@ def key_of(r: dict) -> tuple[str, int]:
 
 def forms_of(key: str) -> list[str]:
     """All canonical rewritings that say less: given names as initials, second surname as initial or left out."""
-    if key[0] == "O":
+    if key[0] != "P":
         return []
     _, g, s1, s2 = key.split("|")
     gs = [g] if g.endswith(".") else [g, "".join(x[0] for x in g.split()) + "."]
@@ -242,17 +267,21 @@ def forms_of(key: str) -> list[str]:
     return [f"P|{a}|{s1}|{b}" for a in gs for b in ss if (a, b) != (g, s2)]
 
 
-def rewritings(tokens: list[str], fixes: dict[str, list[tuple[str, int, int]]], max_edits: int) -> dict[str, tuple[int, int]]:
-    """Forms of the name at its own specificity: (edits, -how much commoner the corrected tokens are), the least of each; as typed (0, 0)."""
+def rewritings(tokens: list[str], fixes: dict[str, list[tuple[str, int, int]]], max_edits: int, more: frozenset[str] = frozenset()) -> dict[str, tuple[int, int]]:
+    """Forms of the name at its own specificity: (edits, -how much commoner the corrected tokens are), the least of each; as typed (0, 0).
+
+    A name that can't be read as typed has unread forms, too.
+    """
+    unread = parse(tokens, more) is None
     choices = [[(t, 0, 0), *fixes.get(t, ())] for t in tokens]
     out: dict[str, tuple[int, int]] = {}
 
     def go(i: int, chosen: list[str], cost: int, gain: int) -> None:
         if i == len(choices):
-            r = parse(chosen)
-            if r:
-                k, v = key_of(r)[0], (cost, -gain)
-                if k not in out or v < out[k]:
+            v = (cost, -gain)
+            for r in (parse(chosen, more), _other(chosen) if unread else None):
+                k = key_of(r)[0] if r else None
+                if k and (k not in out or v < out[k]):
                     out[k] = v
             return
         for t, c, g in choices[i]:
@@ -264,7 +293,7 @@ def rewritings(tokens: list[str], fixes: dict[str, list[tuple[str, int, int]]],
 
 
 def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_edits: int = 4, rare: int = 3, ratio: int = 3) -> DataFrame:
-    """(name, entity) for every spelling that can be read; spellings of one entity denote one person or organisation.
+    """(name, entity) for every spelling with a word in it; spellings of one entity denote one person or organisation.
 
     1. Tokens that are rare beside a token within two edits (one below six letters), or that sound alike, may stand for it.
     2. Every reading of a spelling is rewritten to a canonical form: titles, particles and legal forms go, nicknames and
@@ -272,7 +301,10 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
     3. Forms are exploded and joined by equality. A spelled-out form that is rare beside another one reachable by edits is a misspelling of it.
        Less specific spellings (initials, one surname) join the forms that more specific ones can be shortened to. The score of
        a link is the rarity of the shared form, 1 / number of entities it may denote at the least number of edits; only a score of 1 links.
-    names: one row per distinct spelling with its number of occurrences. Null, empty and unreadable spellings get no row; ties go to
+    4. Spellings without listed given name, initial, comma, activity or legal form have their words in any order as form; it is joined with the words
+       of the spellings that were read, and misspellings among the rest are corrected as in 3. Words that stand behind commas more often than elsewhere
+       are given names like the listed ones.
+    names: one row per distinct spelling with its number of occurrences. Null, empty and wordless spellings get no row; ties go to
     the alphabetically first form; an empty table gives an empty result.
     """
     spark = names.sparkSession
@@ -320,8 +352,18 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
     gathered = near_ones.groupBy("t").agg(F.coalesce(F.min(F.when(F.col("common"), F.col("d"))), F.lit(9)).alias("_any"), F.array_sort(F.collect_list(F.struct("d", "u", "gain", "common"))).alias("_f"))
     fixes = gathered.select("t", F.transform(F.filter("_f", lambda f: f["common"] | (f["d"] < F.col("_any"))), lambda f: F.struct(f["d"].alias("d"), f["u"].alias("u"), f["gain"].alias("gain"))).alias("fixes"))
 
+    def place(batches):
+        for pdf in batches:
+            yield pd.DataFrame([p for toks in pdf["tokens"] for p in positions(list(toks))], columns=["t", "behind"])
+
+    # given names besides the listed ones, unless they may be misspellings of these
+    placed = typed.select("tokens").mapInPandas(place, "t string, behind int").groupBy("t").agg(F.sum("behind").alias("_g"), F.count(F.lit(1)).alias("_n")).where("2 * _g > _n")
+    given = materialize(placed.join(near_ones.where(F.col("gain") == LEXICAL).select("t").distinct(), "t", "left_anti").select("t", F.lit(True).alias("given")), "names-given")
+    fixes = fixes.join(given, "t", "full_outer")
+    fixes = fixes.select("t", "fixes", "given", F.explode_outer("fixes").alias("_x")).join(given.select(F.col("t").alias("_u"), F.col("t").alias("_gu")), F.col("_x.u") == F.col("_u"), "left").groupBy("t").agg(F.first("fixes").alias("fixes"), F.array_compact(F.array_append(F.collect_set("_gu"), F.first(F.when(F.col("given"), F.col("t"))))).alias("given"))
+
     # 2. rewritings
-    per = typed.select("name", F.explode("tokens").alias("t")).join(fixes.hint("merge"), "t").groupBy("name").agg(F.collect_list(F.struct("t", "fixes")).alias("fx"))
+    per = typed.select("name", F.explode("tokens").alias("t")).join(fixes.hint("merge"), "t").groupBy("name").agg(F.collect_list(F.struct("t", "fixes", "given")).alias("fx"))
     full = typed.join(per.hint("merge"), "name", "left")
 
     def rewrite(batches):
@@ -329,10 +371,11 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
             out = []
             for nm, n, toks, fx in zip(pdf["name"], pdf["n"], pdf["tokens"], pdf["fx"]):
                 toks = list(toks)
-                fix = {} if fx is None else {x["t"]: [(y["u"], int(y["d"]), int(y["gain"])) for y in x["fixes"]] for x in fx}
-                own = parse(toks)
+                fix = {} if fx is None else {x["t"]: [(y["u"], int(y["d"]), int(y["gain"])) for y in x["fixes"]] for x in fx if x["fixes"] is not None}
+                more = frozenset() if fx is None else frozenset(g for x in fx for g in x["given"])
+                own = parse(toks, more) or _other(toks)
                 mine = key_of(own) if own else ("", 0)
-                for k, (c, g) in rewritings(toks, fix, max_edits).items():
+                for k, (c, g) in rewritings(toks, fix, max_edits, more).items():
                     out.append((nm, n, mine[0], mine[1], k, _specific(k), c, -g))
             yield pd.DataFrame(out, columns=["name", "n", "own", "own_level", "form", "level", "cost", "gain"])
 
@@ -375,25 +418,51 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
     linked = materialize(whole.unionByName(partial), "names-linked")
 
     # 3c. what is left: among each other, more specific forms first
-    left = forms.where("own_level > 0").join(linked.select("name"), "name", "left_anti")
-    left = materialize(left, "names-left")
+    every = materialize(forms.where("own <> ''").join(linked.select("name"), "name", "left_anti"), "names-left")
+    left = every.where("own_level > 0")
     own = left.where("cost = 0 and form = own").select("form", "level").distinct()
     short2 = own.select(F.col("form").alias("entity")).mapInPandas(shorten, "entity string, form string, odd int").hint("merge")
     up = _unique(left.where("cost = 0 and form = own").select(F.col("form").alias("name")).distinct().join(short2, F.col("name") == short2["form"]).select("name", "entity", F.lit(0).alias("cost"), "odd")).select(F.col("name").alias("own"), "entity")
     rest = left.select("name", "own").distinct().join(up, "own", "left").select("name", F.coalesce("entity", "own").alias("entity"))
-    return linked.unionByName(rest)
+    read = materialize(linked.unionByName(rest), "names-read")
+
+    # 4. what no rule reads: the words of a spelling that was read, else of another unread one, corrected or as typed
+    def words(batches):
+        for pdf in batches:
+            found = [_other(list(t)) for t in pdf["tokens"]]
+            yield pd.DataFrame({"entity": pdf["entity"], "form": [key_of(r)[0] if r else None for r in found]})
+
+    unread = every.where("own_level = 0 and level = 0")
+    same = typed.join(read.hint("merge"), "name").select("entity", "tokens").mapInPandas(words, "entity string, form string").where("form is not null").distinct().hint("merge")
+    met = materialize(_unique(unread.join(same, "form").select("name", "entity", "cost", F.lit(0).alias("odd"))), "names-met")
+    alone = materialize(unread.join(met.select("name"), "name", "left_anti"), "names-unread")
+    typed_so = alone.where("form = own").select("form").distinct()
+    wrong_ones = alone.where("form <> own").join(typed_so, "form", "left_semi").where((F.col("gain") > 0) | ((F.col("gain") == 0) & (F.col("form") < F.col("own"))))
+    up_to = materialize(wrong_ones.groupBy(F.col("own").alias("wrong")).agg(F.min_by("form", F.struct("cost", -F.col("gain"), "form")).alias("form")), "names-unread-misspelled")
+    up_to = _followed(up_to)
+    others = alone.select("name", "own").distinct().join(up_to.select(F.col("wrong").alias("own"), F.col("form").alias("_up")), "own", "left").select("name", F.coalesce("_up", "own").alias("entity"))
+    return read.unionByName(met).unionByName(others)
+
+
+def _followed(step: DataFrame) -> DataFrame:
+    """(wrong, form) with the last form of each chain of corrections; corrections never go round."""
+    while True:
+        nxt = step.select(F.col("wrong").alias("form"), F.col("form").alias("_up"))
+        step = materialize(step.join(nxt, "form", "left").select("wrong", F.coalesce("_up", "form").alias("form")), "names-followed")
+        if step.join(step.select(F.col("wrong").alias("form")), "form", "left_semi").isEmpty():
+            return step
 
 
 def _specific(key: str) -> int:
-    if key[0] == "O":
-        return 6
+    if key[0] != "P":
+        return 6 if key[0] == "O" else 0
     _, g, _, s2 = key.split("|")
     return 6 - (2 if g.endswith(".") else 0) - (3 if s2 == "-" else 1 if s2.endswith(".") else 0)
 
 
 def _lexical(key: str) -> bool:
     """Whether all given names of a form are known ones: others are misspelled beyond two edits."""
-    return key[0] == "O" or all(g in NICKNAMES for g in key.split("|")[1].split())
+    return key[0] != "P" or all(g in NICKNAMES for g in key.split("|")[1].split())
 
 
 def _unique(hits: DataFrame) -> DataFrame:

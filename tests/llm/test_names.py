@@ -54,3 +54,14 @@ def test_parts():
     assert N.key_of(N.parse(N.tokens_of("Prerorte Cap. Partners III, B.V.")))[0] == "O|prerorte|capital partners|iii"
     assert N._distance("abcd", "abdc", 2) == 1 and N._distance("abcd", "abcd", 0) == 0 and N._distance("abcd", "wxyz", 2) == 3
     assert set(N.forms_of("P|juan carlos|a|bc")) == {"P|juan carlos|a|b.", "P|juan carlos|a|-", "P|jc.|a|bc", "P|jc.|a|b.", "P|jc.|a|-"}
+
+
+def test_names_of_no_list_are_linked(spark):
+    groups = [
+        ["Hakan Yilmaz Demir", "HAKAN YILMAZ DEMIR", "Demir, Hakan Yilmaz"], ["Banco Norte", "BANCO NORTE", "Banco Norte, S.A."], ["Sakari Virtanen Koski", "Virtanen Koski, Sakari", "S. Virtanen Koski"],
+        ["Tuulikki Nieminen Aalto", "AALTO NIEMINEN TUULIKKI", "Tuulikki Niemminen Aalto"],
+    ]
+    rows = [(n, 2 if k == 0 else 1) for g in groups for k, n in enumerate(g)] + [("?", 1), ("...", 1)]
+    got = {r["name"]: r["entity"] for r in N.link_variants(spark.createDataFrame(rows, "name string, n int")).collect()}
+    assert all(len({got.get(n) for n in g}) == 1 and got.get(g[0]) for g in groups), got
+    assert len({got[g[0]] for g in groups}) == len(groups) and "?" not in got and "..." not in got
