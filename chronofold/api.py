@@ -9,8 +9,8 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cursors
 from . import schema as S
+from .cursors import Bookmarks, check_limit
 from .errors import AmbiguousAnnulment, AmbiguousIdentifier, InvalidTemporalQuery, NotFound, UnsupportedQuery
 from .functions.scalars import feed_item_id
 from .operators import coverage as C
@@ -60,10 +60,6 @@ class Issuer:
         return {"issuer_id": self.issuer_id, "identifiers": list(self.identifiers)}
 
 
-def _text(v):
-    return None if v is None else v.isoformat() if isinstance(v, (date, datetime)) else v
-
-
 class Ledger:
     """All methods read; each list is one plan with its filters inside, and at most limit + 1 rows reach the driver."""
 
@@ -77,6 +73,9 @@ class Ledger:
     def _t(self, name: str) -> DataFrame:
         return self.data.table(name)
 
+    def _relations(self) -> DataFrame:
+        return R.clean_relations(self._t("notice_relation"))
+
     @property
     def dataset_version(self) -> str | None:
         r = self._t("crawl_run").agg(F.max_by("universe_version", "started_at")).first()
@@ -136,22 +135,20 @@ class Ledger:
     def _uncancelled(self, df: DataFrame, known_at: datetime | None, include: bool) -> DataFrame:
         if include:
             return df
-        return df.join(O.cancelled_as_of(self._t("notice_observation"), self._t("notice_relation"), self._instant(known_at) if known_at else None), "notice_key", "left_anti")
-
-    def _page(self, method: str, df: DataFrame, order: str, kinds: str, limit: int, cursor: str | None, filters: tuple, known_at=None, effective_at=None) -> QueryResult:
-        cursors.check_limit(limit)
-        mode, dv = self._mode(known_at), self.dataset_version
-        sig = cursors.signature(method, *filters, known_at, effective_at)
-        keys, behind = P.ORDERS[order], None
-        if cursor is not None:
-            behind, _ = cursors.decode(cursors.QUERY, cursor, kinds, sig, dv)
-            behind = [date.fromisoformat(v) if v and df.schema[k.column].dataType.typeName() == "date" else v for k, v in zip(keys, behind)]
+        return df.join(O.cancelled_as_of(self._t("notice_observation"), self._relations(), self._instant(known_at) if known_at else None), "notice_key", "left_anti")
+
+    def _page(self, method: str, df: DataFrame, order: str, limit: int, cursor: str | None, filters: tuple, known_at=None, effective_at=None) -> QueryResult:
+        check_limit(limit)
+        mode, dv, keys = self._mode(known_at), self.dataset_version, P.ORDERS[order]
+        marks = Bookmarks(method, tuple(df.schema[k.column].dataType.typeName() for k in keys), (*filters, known_at, effective_at), dv)
+        behind = marks.read(cursor)[0] if cursor is not None else None
+        told = dict(history_mode=mode, known_at=known_at, effective_at=effective_at, dataset_version=dv, query=method)
         if mode == S.NO_HISTORY:
-            return QueryResult(S.NO_HISTORY, (), False, None, mode, known_at, effective_at, dv, None, method)
+            return QueryResult(S.NO_HISTORY, (), False, None, **told)
         rows = P.page(df, keys, limit, behind).collect()
         more, rows = len(rows) > limit, rows[:limit]
-        nxt = cursors.encode(cursors.QUERY, [_text(rows[-1][k.column]) for k in keys], sig, dv) if more else None
-        return QueryResult("OK", tuple(r.asDict(True) for r in rows), more, nxt, mode, known_at, effective_at, dv, None, method)
+        nxt = marks.write([rows[-1][k.column] for k in keys]) if more else None
+        return QueryResult("OK", tuple(r.asDict(True) for r in rows), more, nxt, **told)
 
     # -- lists
 
@@ -171,7 +168,7 @@ class Ledger:
             df = df.where(F.col("issuer_id") == iid)
         if surface:
             df = df.where(F.col("source_surface") == surface)
-        return self._page("notices", self._known(df.distinct(), known_at), "notices", "s", limit, cursor, (iid, surface), known_at)
+        return self._page("notices", self._known(df.distinct(), known_at), "notices", limit, cursor, (iid, surface), known_at)
 
     def events(self, issuer=None, known_at: datetime | None = None, effective_at: date | None = None, basis: str | None = None, limit: int = 200, cursor: str | None = None) -> QueryResult:
         iid = self._issuer(issuer)
@@ -185,7 +182,7 @@ class Ledger:
             df = df.where(F.col("first_observed_at") <= self._instant(known_at))
         if effective_at:
             df = df.where(F.col("effective_date") <= F.lit(effective_at))
-        return self._page("events", df.distinct(), "events", "ss", limit, cursor, (iid, basis), known_at, effective_at)
+        return self._page("events", df.distinct(), "events", limit, cursor, (iid, basis), known_at, effective_at)
 
     def _with_notice(self, df: DataFrame, surfaces: tuple[str, ...], iid: str | None) -> DataFrame:
         n = self._t("notice").where(F.col("source_surface").isin(*surfaces))
@@ -199,7 +196,7 @@ class Ledger:
         if effective_at:
             df = df.where(F.col("event_date") <= F.lit(effective_at))
         df = self._uncancelled(self._known(df, known_at), known_at, include_cancelled)
-        return self._page("insider_transactions", df, "insider_transactions", "ss", limit, cursor, (iid, include_cancelled), known_at, effective_at)
+        return self._page("insider_transactions", df, "insider_transactions", limit, cursor, (iid, include_cancelled), known_at, effective_at)
 
     recent_insider_transactions = insider_transactions
 
@@ -215,7 +212,7 @@ class Ledger:
         if effective_at:
             df = df.where(F.col("threshold_date") <= F.lit(effective_at))
         df = self._uncancelled(self._known(df, known_at), known_at, include_cancelled)
-        return self._page("significant_holdings", df, "significant_holdings", "ss", limit, cursor, (iid, include_cancelled), known_at, effective_at)
+        return self._page("significant_holdings", df, "significant_holdings", limit, cursor, (iid, include_cancelled), known_at, effective_at)
 
     def treasury_stock_positions(self, issuer=None, known_at=None, effective_at=None, limit: int = 200, cursor=None) -> QueryResult:
         iid = self._issuer(issuer)
@@ -223,23 +220,31 @@ class Ledger:
         df = df.groupBy("notice_key", "issuer_id", "filing_date").agg(F.max_by(F.struct("notification_date", "fact_id", "source_payload_json"), F.struct(F.coalesce("notification_date", F.lit(date(1, 1, 1))), "fact_id")).alias("_p")).select("notice_key", "issuer_id", "filing_date", "_p.*")
         if effective_at:
             df = df.where(F.col("notification_date") <= F.lit(effective_at))
-        return self._page("treasury_stock_positions", self._known(df, known_at), "treasury_stock_positions", "ss", limit, cursor, (iid,), known_at, effective_at)
+        return self._page("treasury_stock_positions", self._known(df, known_at), "treasury_stock_positions", limit, cursor, (iid,), known_at, effective_at)
 
     def treasury_operations(self, issuer=None, known_at=None, effective_at=None, limit: int = 200, cursor=None) -> QueryResult:
         iid = self._issuer(issuer)
         df = self._with_notice(self._t("notice_event").distinct(), ("ac",), iid).withColumnsRenamed({"event_date": "operation_date", "event_index": "row_index"})
         if effective_at:
             df = df.where(F.col("operation_date") <= F.lit(effective_at))
-        return self._page("treasury_operations", self._known(df, known_at), "treasury_operations", "ssi", limit, cursor, (iid,), known_at, effective_at)
+        return self._page("treasury_operations", self._known(df, known_at), "treasury_operations", limit, cursor, (iid,), known_at, effective_at)
 
     # -- annulment and provenance
 
     def _edges(self) -> DataFrame:
-        return self._t("notice_relation").where("relation_type = 'ANNULS'").select(F.col("annulling_key").alias("parent"), F.col("annulled_key").alias("child"))
+        return self._relations().where("relation_type = 'ANNULS'").select(F.col("annulling_key").alias("parent"), F.col("annulled_key").alias("child"))
 
     def annulment_status(self, key: str) -> dict:
-        r = R.annulment_status(self._edges()).where(F.col("notice_key") == key).collect()
-        return r[0].asDict() if r else {"notice_key": key, "relation_status": "NONE", "terminal": None, "annulling_notices": []}
+        """Status of one notice: only its own chain is read, unless it is longer than some steps or the whole solution is stored."""
+        return self._status([key])[key]
+
+    def _status(self, keys: list[str]) -> dict[str, dict]:
+        none = lambda k: {"notice_key": k, "relation_status": "NONE", "terminal": None, "annulling_notices": []}
+        if self.data._exists("annulment_status"):
+            found = {r["notice_key"]: r.asDict() for r in self._t("annulment_status").where(F.col("notice_key").isin(keys)).collect()}
+        else:
+            found = R.status_of(self._edges(), keys)
+        return {k: found.get(k) or none(k) for k in keys}
 
     def current_authoritative(self, key: str) -> dict:
         st = self.annulment_status(key)
@@ -252,6 +257,19 @@ class Ledger:
             raise AmbiguousAnnulment(f"{key}: {st['status']}")
         return st["authoritative"]
 
+    def notice_record(self, key: str) -> dict:
+        """A notice with its annulment and what is authoritative in its place."""
+        return {"notice": self.notice(key), "annulment": self.annulment_status(key), "authoritative": self.current_authoritative(key)}
+
+    def provenance_of(self, key: str) -> dict:
+        """Provenance of an event, or of all events of a notice."""
+        if not self._t("ledger_event").where(F.col("event_id") == key).limit(1).isEmpty():
+            return self.provenance(key)
+        rows = R.provenance(self._t("ledger_event").where(F.col("source_notice_key") == key), self._t("source_fact"), self._t("notice"), self._t("notice_observation")).orderBy("event_id").collect()
+        if not rows:
+            raise NotFound(f"no event of {key!r}")
+        return {"notice_key": key, "events": [r.asDict() for r in rows]}
+
     def provenance(self, event_id: str) -> dict:
         r = R.provenance(self._t("ledger_event").where(F.col("event_id") == event_id), self._t("source_fact"), self._t("notice"), self._t("notice_observation")).collect()
         if not r:
@@ -266,48 +284,57 @@ class Ledger:
     def coverage(self) -> DataFrame:
         return C.coverage_matrix(self._t("notice").distinct())
 
+    def coverage_record(self) -> dict:
+        return {"coverage": [r.asDict(True) for r in self.coverage().orderBy("source_surface").collect()]}
+
     # -- feed
 
     def feed_items(self) -> DataFrame:
         if self._feed is None:
             stored = self.data._exists("feed_item")
-            self._feed = self._t("feed_item") if stored else FD.build_feed(self._t("source_fact"), self._t("ledger_event"), self._t("notice"), self._t("notice_observation"), self._t("notice_relation"), self._t("crawl_run"))
+            self._feed = self._t("feed_item") if stored else FD.build_feed(self._t("source_fact"), self._t("ledger_event"), self._t("notice"), self._t("notice_observation"), self._relations(), self._t("crawl_run"))
         return self._feed
 
+    @staticmethod
+    def _marks(issuer, item_type, include_backfill, dataset) -> Bookmarks:
+        return Bookmarks("feed", ("long", "string"), (issuer, item_type, include_backfill), dataset, until=True)
+
     def feed(self, cursor=None, limit: int = 100, issuer=None, item_type: str | None = None, include_backfill: bool = False) -> QueryResult:
         """Items in the order they became known. The first page fixes a watermark that bounds the whole traversal."""
-        cursors.check_limit(limit)
+        check_limit(limit)
         iid = self._issuer(issuer)
         if item_type is not None and item_type not in S.FEED_TYPES:
             raise UnsupportedQuery(f"feed item type {item_type!r}; there are {S.FEED_TYPES}")
-        sig, dv = cursors.signature("feed", iid, item_type, include_backfill), self.dataset_version
+        dv = self.dataset_version
+        marks = self._marks(iid, item_type, include_backfill, dv)
         scope = FD.select_feed(self.feed_items(), issuer=iid, item_type=item_type, include_backfill=include_backfill).where("observed_at is not null")
         key = mark = None
         if cursor is None:
             mark = scope.agg(F.unix_micros(F.max("observed_at"))).first()[0]
         else:
-            key, mark = cursors.decode(cursors.FEED, cursor, "is", sig, dv)
+            key, mark = marks.read(cursor)
         if mark is not None:
             scope = scope.where(F.col("observed_at") <= F.timestamp_micros(F.lit(mark)))
-        scope = scope.withColumn("_us", F.unix_micros("observed_at"))
-        order = (P.Key("_us"), P.Key("item_key"))
         if key is not None:
             scope = scope.where(F.col("observed_at") >= F.timestamp_micros(F.lit(key[0])))
-        scope = scope.withColumn("feed_item_id", feed_item_id("item_key")).withColumn("summary", FD.summary(F.col("feed_item_type"), F.col("payload_json")))
-        rows = P.page(scope, order, limit, key).collect()
+        scope = scope.withColumn("_us", F.unix_micros("observed_at"))
+        # what a page shows besides the stored columns is computed for its rows only
+        top = P.page(scope, (P.Key("_us"), P.Key("item_key")), limit, key)
+        rows = top.withColumn("feed_item_id", feed_item_id("item_key")).withColumn("summary", FD.summary(F.col("feed_item_type"), F.col("payload_json"))).collect()
+        rows.sort(key=lambda r: (r["_us"], r["item_key"]))
         more, rows = len(rows) > limit, rows[:limit]
-        items = self._enrich([r.asDict() for r in rows])
-        nxt = cursors.encode(cursors.FEED, [rows[-1]["_us"], rows[-1]["item_key"]], sig, dv, mark) if more else None
+        nxt = marks.write([rows[-1]["_us"], rows[-1]["item_key"]], mark) if more else None
         at = None if mark is None else datetime.fromtimestamp(mark / 1e6, timezone.utc)
-        return QueryResult("OK", tuple(items), more, nxt, dataset_version=dv, watermark=at, query="feed")
+        return QueryResult("OK", tuple(self._enrich([r.asDict() for r in rows])), more, nxt, dataset_version=dv, watermark=at, query="feed")
 
     def _enrich(self, items: list[dict]) -> list[dict]:
         """Annulment status of the page's cancellations, by one query for all of them."""
-        keys = sorted({i["annulled_key"] for i in items if i["feed_item_type"] == "CANCELLATION_RELATION_OBSERVED"})
-        status = {r["notice_key"]: r for r in R.annulment_status(self._edges()).where(F.col("notice_key").isin(keys)).collect()} if keys else {}
+        relation = "CANCELLATION_RELATION_OBSERVED"
+        cleaned = {i["annulled_key"]: i["annulled_key"].strip(" ").lower() for i in items if i["feed_item_type"] == relation}
+        status = self._status(sorted(set(cleaned.values()))) if cleaned else {}
         for i in items:
             i.pop("_us", None)
-            st = status.get(i.get("annulled_key"))
+            st = status.get(cleaned.get(i.get("annulled_key"))) if i["feed_item_type"] == relation else None
             i["annulment_status"] = st["relation_status"] if st else None
             if st:
                 i["summary"] = json.dumps({"annulment_status": st["relation_status"], "annulling_notices": st["annulling_notices"]})
@@ -318,4 +345,4 @@ class Ledger:
         iid = self._issuer(issuer)
         scope = FD.select_feed(self.feed_items(), issuer=iid, item_type=item_type, include_backfill=include_backfill)
         top = scope.agg(F.unix_micros(F.max("observed_at"))).first()[0]
-        return cursors.encode(cursors.FEED, [top if top is not None else -(1 << 62), "￿"], cursors.signature("feed", iid, item_type, include_backfill), self.dataset_version, None)
+        return self._marks(iid, item_type, include_backfill, self.dataset_version).write([top if top is not None else -(1 << 62), "\U0010ffff"])

@@ -13,6 +13,11 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def clean_key(key: Column | str) -> Column:
+    """Keys as they are compared: stray blanks and capitals of typed references don't count."""
+    return F.lower(F.trim(_c(key)))
+
+
 def nfkc(text: Column | str) -> Column:
     """Compatibility form with plain blanks; no built-in exists, so Arrow batches."""
 

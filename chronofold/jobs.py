@@ -1,38 +1,50 @@
-"""Jobs over a dataset: rebuild of the derived layers, ingestion of landed pages, reconciliation and incremental passes."""
+"""Jobs over a dataset: rebuild of the derived layers, documents to semantic tables, ingestion of landed pages, reconciliation."""
 
 from __future__ import annotations
 
-from datetime import datetime
+import inspect
+from datetime import datetime, timezone
+from typing import get_type_hints
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schema as S
+from .errors import UnsupportedQuery
 from .functions import scalars as X
 from .operators import feed as FD
 from .operators import ledger as L
 from .operators import observations as O
+from .operators import relations as R
 from .runtime import number_rows
 from .sources import listings
 from .sources.dataset import Dataset
+from .sources.landing import read_landing
 from .sources.runs import RunLog
 
 
-def rebuild(spark: SparkSession, path: str, out: str) -> dict:
-    """Events and feed derived anew from facts, notices, relations and observations, written by overwrite, and their digests.
+def rebuild(spark: SparkSession, path: str, out: str, from_semantic: bool = False) -> dict:
+    """Facts, events, annulment status and feed derived anew, written by overwrite, and their digests.
 
-    The derived tables depend on their inputs alone: rebuilding gives the same digests whatever was there before.
+    from_semantic: facts are built from the semantic tables; else those of the dataset stay as they are. The derived tables depend on their inputs alone:
+    rebuilding gives the same digests whatever was there before. The feed is written in its own order, so that a page reads a few row groups.
     """
     d = Dataset.open(spark, path)
-    facts = d.table("source_fact").where("fact_id is not null and notice_key is not null").dropDuplicates(["fact_id"])
-    observed = O.first_observed(d.table("notice_observation"), present_first=True)
-    events = L.derive_events(facts, d.table("notice"), d.table("notice_relation"), observed)
+    notice, obs, relations = d.table("notice"), d.table("notice_observation"), R.clean_relations(d.table("notice_relation"))
+    observed = O.first_observed(obs, present_first=True)
+    if from_semantic:
+        L.source_facts({t: d.table(t) for t in S.SEMANTIC}, notice, observed).write.mode("overwrite").partitionBy("fact_type").parquet(f"{out}/source_fact.parquet")
+        facts = spark.read.parquet(f"{out}/source_fact.parquet")
+    else:
+        facts = d.table("source_fact").where("fact_id is not null and notice_key is not null").dropDuplicates(["fact_id"])
+    events = L.derive_events(facts, notice, relations, observed)
     events.write.mode("overwrite").partitionBy("event_type").parquet(f"{out}/ledger_event.parquet")
     rules = spark.createDataFrame([(r, t, b) for r, (t, b) in S.RULES.items()], "rule_id string, event_type string, event_basis string")
     rules.coalesce(1).write.mode("overwrite").parquet(f"{out}/derivation_rule.parquet")
+    edges = relations.where("relation_type = 'ANNULS'").select(F.col("annulling_key").alias("parent"), F.col("annulled_key").alias("child"))
+    R.annulment_status(edges).write.mode("overwrite").parquet(f"{out}/annulment_status.parquet")
     stored = spark.read.parquet(f"{out}/ledger_event.parquet")
-    feed = FD.build_feed(facts, stored, d.table("notice"), d.table("notice_observation"), d.table("notice_relation"), d.table("crawl_run"))
-    feed.write.mode("overwrite").parquet(f"{out}/feed_item.parquet")
+    FD.store_feed(FD.build_feed(facts, stored, notice, obs, relations, d.table("crawl_run")), f"{out}/feed_item.parquet")
     e = L.digest(stored, ["event_id", "event_type", "issuer_id", "effective_date", "filing_date", "payload_json", "first_observed_at"]).first()
     f = L.digest(spark.read.parquet(f"{out}/feed_item.parquet"), ["item_key", "feed_item_type", "observed_at", "run_id", "issuer_id", "event_id"]).first()
     return {"ledger_events": e["n"], "ledger_digest": e["digest"], "feed_items": f["n"], "feed_digest": f["digest"]}
@@ -58,49 +70,44 @@ def observe(notices: DataFrame, known: DataFrame, run_id: str, observed_at: date
 
 
 def ingest_pages(spark: SparkSession, path: str, pages: DataFrame, universe: DataFrame, *, run_id: str, run_type: str, observed_at: datetime) -> dict:
-    """Append what landed listing pages (url, html) tell: observations, run membership, new notices and relations, issuers outside the universe.
+    """What landed listing pages (url, html) tell: observations, run membership, new notices and relations, issuers outside the universe.
 
-    Idempotent: a run that has rows already appends none, and known notices and edges are not inserted again. Returns counts.
+    All rows of a run are staged, then published by one pointer swap: a run that fails at any point and is done again delivers everything once.
+    A run that is published already delivers nothing, and known notices and edges are not inserted again. Returns counts.
     """
-    log = RunLog(spark, f"{path}/_runs")
-    d = Dataset.open(spark, path)
-    done = {"observations": 0, "new_notices": 0, "relations": 0, "discovered": 0}
-    if not d.table("run_seen").where(F.col("run_id") == run_id).limit(1).isEmpty():
-        return done
+    log, d = RunLog(spark, f"{path}/_runs"), Dataset.open(spark, path)
+    if run_id in d.published():
+        return {"observations": 0, "new_notices": 0, "relations": 0, "discovered": 0}
     log.start(run_id, run_type, "pages")
     found = listings.listing_notices(pages)
     inside, outside = listings.split_by_universe(found, universe)
     last = d.table("notice_observation").agg(F.max("obs_id")).first()[0] or 0
-    obs = observe(inside, d.table("notice"), run_id, observed_at, last + 1).persist()
-    done["observations"], done["new_notices"] = obs.count(), obs.where("is_new").count()
+    d.stage(run_id, {"observed": observe(inside, d.table("notice"), run_id, observed_at, last + 1)})
+    obs = spark.read.parquet(f"{d.path}/_delivered/{run_id}/observed.parquet")
     fresh = O.insert_or_ignore(d.table("notice"), inside.select("notice_key", "source_surface", "source_registration_number", F.lit("PDMR_NOTIFICATION").alias("notice_type"), "issuer_id", "filing_date", "notice_status", "doc_token", "declarant_name_raw", "declarant_role", F.lit(run_id).alias("first_seen_run"), F.lit(run_id).alias("last_seen_run")), ["notice_key"])
     edges = O.insert_or_ignore(d.table("notice_relation"), listings.listing_relations(inside).withColumn("observed_run_id", F.lit(run_id)), ["annulling_key", "annulled_key", "relation_type"])
-    done["relations"], done["discovered"] = edges.count(), outside.count()
-
-    def append(df: DataFrame, name: str) -> None:
-        df.write.mode("append").parquet(f"{path}/{name}.parquet")
-
-    append(edges, "notice_relation")
-    append(fresh, "notice")
-    append(O.insert_or_ignore(d.table("discovered_issuer"), outside, ["nif"]), "discovered_issuer")
-    append(obs.drop("is_new"), "notice_observation")
-    append(obs.select("run_id", "notice_key"), "run_seen")  # last: its rows mark the run as delivered
-    obs.unpersist()
+    d.stage(run_id, {
+        "notice_observation": obs.drop("is_new"), "run_seen": obs.select("run_id", "notice_key"), "notice": fresh, "notice_relation": edges, "discovered_issuer": O.insert_or_ignore(d.table("discovered_issuer"), outside, ["nif"]),
+    })
+    staged = lambda name: spark.read.parquet(f"{d.path}/_delivered/{run_id}/{name}.parquet").count()
+    done = {"observations": obs.count(), "new_notices": obs.where("is_new").count(), "relations": staged("notice_relation"), "discovered": staged("discovered_issuer")}
+    d.publish(run_id)
     log.finish(run_id, stats_json=str(done))
     return done
 
 
 def reconcile(spark: SparkSession, path: str, *, run_id: str, surface: str, observed_at: datetime, filed_from: str | None = None) -> int:
-    """Append an absence for every notice of a surface that the run did not list; status propagation stays a query over the relations."""
+    """An absence for every notice of a surface that the run did not list; status propagation stays a query over the relations. Done once a run and surface."""
     d = Dataset.open(spark, path)
-    run = spark.createDataFrame([(run_id, surface, filed_from)], "run_id string, surface string, from_date string").withColumn("from_date", F.col("from_date").cast("date"))
-    gone = O.mark_disappearances(d.table("notice"), d.table("run_seen"), run)
-    last = d.table("notice_observation").agg(F.max("obs_id")).first()[0] or 0
-    rows = number_rows(gone, "notice_key", "obs_id", last + 1).select("obs_id", "run_id", "notice_key", F.lit(observed_at).cast("timestamp").alias("observed_at"), F.lit(S.DISAPPEARED).alias("status_observed"), F.lit(False).alias("present_in_source")).persist()
-    n = rows.count()
-    rows.write.mode("append").parquet(f"{path}/notice_observation.parquet")
-    rows.unpersist()
-    return n
+    delivery = f"{run_id}-absences-{surface}"
+    if delivery not in d.published():
+        run = spark.createDataFrame([(run_id, surface, filed_from)], "run_id string, surface string, from_date string").withColumn("from_date", F.col("from_date").cast("date"))
+        gone = O.mark_disappearances(d.table("notice"), d.table("run_seen"), run)
+        last = d.table("notice_observation").agg(F.max("obs_id")).first()[0] or 0
+        rows = number_rows(gone, "notice_key", "obs_id", last + 1).select("obs_id", "run_id", "notice_key", F.lit(observed_at).cast("timestamp").alias("observed_at"), F.lit(S.DISAPPEARED).alias("status_observed"), F.lit(False).alias("present_in_source"))
+        d.stage(delivery, {"notice_observation": rows})
+        d.publish(delivery)
+    return spark.read.parquet(f"{d.path}/_delivered/{delivery}/notice_observation.parquet").count()
 
 
 def incremental_pass(spark: SparkSession, path: str, pages: DataFrame, universe: DataFrame, *, run_id: str, observed_at: datetime, overlap_days: int = 10) -> dict:
@@ -110,3 +117,55 @@ def incremental_pass(spark: SparkSession, path: str, pages: DataFrame, universe:
         keys = listings.listing_notices(pages).where(F.col("filing_date").isNull() | (F.col("filing_date") >= F.lit(since).cast("date"))).select("source_url_observed").distinct()
         pages = pages.join(keys.withColumnRenamed("source_url_observed", "url"), "url", "left_semi")
     return ingest_pages(spark, path, pages, universe, run_id=run_id, run_type="INCREMENTAL", observed_at=observed_at)
+
+
+# ---- what the command line's admin commands do
+
+
+def _pages(spark: SparkSession, folder: str) -> DataFrame:
+    return read_landing(spark, folder, "*.html").select("url", F.decode("content", F.lit("UTF-8")).alias("html"))
+
+
+def _now() -> datetime:
+    return datetime.now(timezone.utc)
+
+
+def admin_rebuild(spark: SparkSession, path: str, *, out: str, from_semantic: str = None) -> dict:
+    """Derive facts, events, annulment status and feed anew, into another folder."""
+    if out.rstrip("/") == path.rstrip("/"):
+        raise UnsupportedQuery("a rebuild doesn't overwrite what it reads")
+    return rebuild(spark, path, out, from_semantic == "yes")
+
+
+def admin_crawl(spark: SparkSession, path: str, *, pages: str, universe: str, version: str, run_id: str, observed_at: datetime = None) -> dict:
+    """Ingest all landed listing pages of a folder as a backfill."""
+    from .sources.universe import load_universe
+
+    return ingest_pages(spark, path, _pages(spark, pages), load_universe(spark, universe, version), run_id=run_id, run_type="BACKFILL", observed_at=observed_at or _now())
+
+
+def admin_ingest(spark: SparkSession, path: str, *, pages: str, universe: str, version: str, run_id: str, observed_at: datetime = None) -> dict:
+    """Ingest the landed pages filed since the last successful run, overlap included."""
+    from .sources.universe import load_universe
+
+    return incremental_pass(spark, path, _pages(spark, pages), load_universe(spark, universe, version), run_id=run_id, observed_at=observed_at or _now())
+
+
+def admin_reconcile(spark: SparkSession, path: str, *, run_id: str, surface: str, observed_at: datetime = None, filed_from: str = None) -> dict:
+    """Note as absent what a run did not list of a surface."""
+    return {"absences": reconcile(spark, path, run_id=run_id, surface=surface, observed_at=observed_at or _now(), filed_from=filed_from)}
+
+
+def admin_runs(spark: SparkSession, path: str) -> dict:
+    """Runs of this dataset and their failures."""
+    log = RunLog(spark, f"{path}/_runs")
+    return {"runs": [r.asDict() for r in log.runs().orderBy("started_at").collect()], "failures": [r.asDict() for r in log.failures().orderBy("at").collect()]}
+
+
+ADMIN = {"rebuild": admin_rebuild, "crawl": admin_crawl, "ingest": admin_ingest, "reconcile": admin_reconcile, "runs": admin_runs}
+
+
+def options(job) -> dict[str, tuple[type, bool]]:
+    """Keyword arguments of an admin job: (type, whether it must be told)."""
+    types = get_type_hints(job)
+    return {n: (types[n], p.default is p.empty) for n, p in inspect.signature(job).parameters.items() if p.kind is p.KEYWORD_ONLY}

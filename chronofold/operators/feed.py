@@ -50,6 +50,11 @@ def build_feed(facts: DataFrame, events: DataFrame, notice: DataFrame, obs: Data
     return semantic.unionByName(seen).unionByName(cancel).unionByName(gone)
 
 
+def store_feed(feed: DataFrame, path: str) -> None:
+    """Write the feed in its own order, in small row groups: a page or a watermark reads those at its end of the range only."""
+    feed.where("observed_at is not null").repartitionByRange("observed_at", "item_key").sortWithinPartitions("observed_at", "item_key").write.mode("overwrite").option("parquet.block.size", str(8 << 20)).parquet(path)
+
+
 def select_feed(feed: DataFrame, *, issuer: str | None = None, item_type: str | None = None, include_backfill: bool = False) -> DataFrame:
     """The filtered scope; items of backfill runs are left out unless asked for, those of unknown runs are kept."""
     out = feed

@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import clean_key
 from .hierarchy import resolve_hierarchy
 
 
+def clean_relations(relations: DataFrame) -> DataFrame:
+    """Relations with their keys as they are compared; every reader of relations starts from these."""
+    return relations.withColumns({c: clean_key(c) for c in ("annulling_key", "annulled_key")})
+
+
 def fact_version_relation(facts: DataFrame, relations: DataFrame) -> DataFrame:
     """All pairs of a fact of the annulled notice and a fact of the annulling one; a view, never stored.
 
@@ -41,6 +47,39 @@ def annulment_status(edges: DataFrame) -> DataFrame:
     return r.join(own, "notice_key").select("notice_key", F.when(ok, "RESOLVED").otherwise(F.col("root")).alias("relation_status"), F.when(ok, F.col("root")).alias("terminal"), "annulling_notices")
 
 
+def status_of(edges: DataFrame, keys: list[str], steps: int = 24) -> dict[str, dict]:
+    """The same for a few asked keys, those without parent left out: only their own chains are read, a step at a time and one row a key.
+
+    Chains of more steps are left to annulment_status.
+    """
+    up: dict[str, tuple[int, str]] = {}
+    edges = edges.where("parent is not null and child is not null").distinct()
+    ahead, known = set(keys), set()
+    for _ in range(steps):
+        rows = edges.where(F.col("child").isin(sorted(ahead))).groupBy("child").agg(F.count(F.lit(1)).alias("n"), F.min("parent").alias("up")).collect()
+        up |= {r["child"]: (r["n"], r["up"]) for r in rows}
+        known |= ahead
+        ahead = {r["up"] for r in rows if r["n"] == 1} - known
+        if not ahead:
+            break
+    else:
+        rows = annulment_status(edges).where(F.col("notice_key").isin(keys)).collect()
+        return {r["notice_key"]: r.asDict() for r in rows}
+    out = {}
+    for key in (k for k in keys if k in up):
+        at, met, status = key, set(), None
+        while status is None:
+            met.add(at)
+            n, nxt = up[at]
+            status = "AMBIGUOUS" if n > 1 else "CYCLE" if nxt in met else "RESOLVED" if nxt not in up else None
+            at = nxt
+        out[key] = {"notice_key": key, "relation_status": status, "terminal": at if status == "RESOLVED" else None}
+    if out:
+        for r in edges.where(F.col("child").isin(sorted(out))).groupBy("child").agg(F.array_sort(F.collect_set("parent")).alias("p")).collect():
+            out[r["child"]]["annulling_notices"] = r["p"]
+    return out
+
+
 def current_authoritative(notice_keys: DataFrame, status: DataFrame) -> DataFrame:
     """(notice_key, status, authoritative) of every key: AUTHORITATIVE, SUPERSEDED by the terminal, or the status that forbids a choice."""
     s = notice_keys.select("notice_key").distinct().join(status.select("notice_key", "relation_status", "terminal"), "notice_key", "left")

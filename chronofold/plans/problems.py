@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import clean_key
 from ..operators import asof, hierarchy, incremental, late, orphans, snapshots
 from ..runtime import broadcast_checked, materialize, skew_join, table
 
@@ -75,10 +76,6 @@ def p4_years(spark: SparkSession, d: str) -> DataFrame:
     return late.roll_up_deltas(_deltas(spark, d), to=F.year("period"), name="year", measures=["n_rows"])
 
 
-def clean_key(c: Column | str) -> Column:
-    return F.lower(F.trim(c))
-
-
 def relation_edges(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "notice_relation").where("relation_type = 'ANNULS'").select(clean_key("annulling_key").alias("parent"), clean_key("annulled_key").alias("child"))
 

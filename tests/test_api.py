@@ -91,13 +91,17 @@ def test_pages_in_any_size(ledger, size):
 
 def test_cursors_and_arguments(ledger):
     c = ledger.events(limit=1).next_cursor
-    for bad in ("AAAA", "W10=", "", "!!!", "e30="):
+    swapped = c[:-3] + ("AAA" if c[-3:] != "AAA" else "BBB")
+    for bad in ("", "cf3", "cf3-", "cf3-a0", "cf3-AAAA", swapped, c.lower(), c[:-4], c + "A" * 8, 7, ledger.feed(limit=1)):
         with pytest.raises(InvalidCursor):
             ledger.events(cursor=bad)
+    for other in (dict(issuer="A1"), dict(known_at=T2), dict(effective_at=date(2024, 2, 1))):
+        with pytest.raises(CursorDatasetMismatch):
+            ledger.events(cursor=c, **other)
     with pytest.raises(CursorDatasetMismatch):
-        ledger.events(issuer="A1", cursor=c)
+        ledger.notices(cursor=c)
     with pytest.raises(UnsupportedCursorVersion):
-        ledger.events(cursor="q1." + c.split(".")[1])
+        ledger.events(cursor=c.replace("cf3-", "cf2-"))
     for bad in (0, -1, "10", None, 1.5, True):
         with pytest.raises(InvalidTemporalQuery):
             ledger.events(limit=bad)
@@ -107,6 +111,16 @@ def test_cursors_and_arguments(ledger):
         ledger.events(basis="NOPE")
 
 
+def test_asked_annulments_equal_the_whole_solution(spark):
+    from chronofold.operators import relations as R
+
+    pairs = [(f"n{k + 1}", f"n{k}") for k in range(40)] + [("a", "b"), ("c", "b"), ("b", "d"), ("x", "y"), ("y", "x"), ("x", "z"), ("s", "s"), (None, "n0"), ("a", "b")]
+    edges = spark.createDataFrame(pairs, "parent string, child string")
+    whole = {r["notice_key"]: r.asDict() for r in R.annulment_status(edges).collect()}
+    for steps in (3, 64):
+        assert R.status_of(edges, [*whole, "nobody"], steps) == whole
+
+
 def test_annulment(ledger):
     assert ledger.annulment_status("ps:amb") == {"notice_key": "ps:amb", "relation_status": "AMBIGUOUS", "terminal": None, "annulling_notices": ["ps:x", "ps:y"]}
     assert ledger.current_authoritative("ps:old")["authoritative"] == "ps:new"
@@ -146,9 +160,22 @@ def test_command_line(ledger, spark, capsys):
     assert len([json.loads(x) for x in out.splitlines()]) == 2 and "next_cursor=" in err
     assert main(["--format", "json", "annulment", "ps:old", "--data", path], spark) == 0
     assert json.loads(capsys.readouterr().out)["data"]["terminal"] == "ps:new"
+    assert main(["holdings", "A1", "--include-cancelled", "--data", path], spark) == 0 and "ps:old" in capsys.readouterr().out
+    assert main(["feed-cursor-latest", "--data", path], spark) == 0
+    latest = capsys.readouterr().out.strip()
+    assert ledger.feed(cursor=latest).count == 0
+    assert main(["feed", "--from-latest", "--data", path, "--format", "json"], spark) == 0 and json.loads(capsys.readouterr().out)["data"]["count"] == 0
+    assert main(["provenance", "ps:100", "--data", path, "--format", "json"], spark) == 0 and len(json.loads(capsys.readouterr().out)["data"]["events"]) == 5
+    assert main(["dataset-info", "--data", path], spark) == 0 and "notices" in capsys.readouterr().out
+    assert main(["coverage", "--data", path, "--format", "json"], spark) == 0 and len(json.loads(capsys.readouterr().out)["data"]["coverage"]) == 4
+    assert main(["notice", "ps:old", "--data", path, "--format", "json"], spark) == 0 and json.loads(capsys.readouterr().out)["data"]["authoritative"]["authoritative"] == "ps:new"
+    assert main(["events", "--format", "atom", "--data", path], spark) == 1
+    assert main(["--version"], spark) == 0 and "schema" in capsys.readouterr().out
+    assert main(["admin", "runs", "--data", path], spark) == 0
+    assert main(["admin", "rebuild", "--data", path, "--out", path], spark) == 1
     assert main(["notice", "nod:0", "--data", path], spark) == 1
     assert main(["nonsense"], spark) == 2
-    assert main(["info", "--data", path + "-none"], spark) == 1
+    assert main(["dataset-info", "--data", path + "-none"], spark) == 1
     buf = io.StringIO()
     emit(ledger.feed(limit=3), "atom", out=buf)
     assert len(ET.fromstring(buf.getvalue()).findall("{http://www.w3.org/2005/Atom}entry")) == 3
