@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import calendar
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,32 +49,45 @@ def p3_changes(spark: SparkSession, d: str) -> DataFrame:
     return _p3(spark, d, True)
 
 
-def classified_events(spark: SparkSession, d: str, *measures: str) -> DataFrame:
+def arrived_events(spark: SparkSession, d: str, *measures: str) -> DataFrame:
+    """Rows of notice_event with their period and the arrival of their notice; those of notices that a backfill brought take no part."""
     first = table(spark, d, "notice_observation").where("notice_key is not null and observed_at is not null").groupBy("notice_key").agg(F.min(F.struct("observed_at", "obs_id", "run_id")).alias("_f")).select("notice_key", F.col("_f.observed_at").alias("arrival"), F.col("_f.run_id").alias("run_id"))
     backfill = table(spark, d, "crawl_run").where("run_type = 'BACKFILL'").select("run_id").distinct()
     arrived = first.join(broadcast_checked(backfill), "run_id", "left_anti").select("notice_key", "arrival")
     notice = table(spark, d, "notice").where("notice_key is not null and filing_date is not null").groupBy("notice_key").agg(F.max("filing_date").alias("filing_date"))
     events = table(spark, d, "notice_event").where("event_date is not null and notice_key is not null").select("notice_key", "event_index", "event_date", *measures).distinct()
     rows = skew_join(events, notice.join(arrived, "notice_key"), "notice_key").where("event_date <= filing_date")
-    return late.classify_arrivals(rows, event_date="event_date", arrival="arrival")
+    return rows.withColumn("period", F.trunc("event_date", "month"))
 
 
-def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return classified_events(spark, d).where("outcome <> 'ON_TIME'").select("notice_key", "event_index", "outcome").distinct()
+def _late(spark: SparkSession, d: str, measure: bool, folder: str | None = None) -> tuple[DataFrame, late.LateAggregates]:
+    """The rows, and the state into which they were merged a year of arrivals at a time."""
+    rows = materialize(arrived_events(spark, d, *(["shares"] if measure else [])), "arrived-events")
+    if measure:
+        rows = rows.withColumn("shares", F.expr("try_cast(shares as decimal(38,0))"))
+    year = F.year(late.day_of("arrival"))
+    first, last = rows.agg(F.min(year), F.max(year)).first()
+    kept = late.LateAggregates(spark, {"shares": "decimal(38,0)"} if measure else {}, folder=folder)
+    ends = [] if first is None else [calendar.timegm((y, 1, 1, 0, 0, 0)) * 1_000_000 for y in range(first + 1, last + 1)]
+    for upto in [*ends, None]:
+        kept.process(rows, arrival="arrival", upto=upto)
+    return rows, kept
 
 
-def _deltas(spark: SparkSession, d: str) -> DataFrame:
-    return late.period_deltas(classified_events(spark, d, "shares"), arrival="arrival", measures={"shares": F.expr("try_cast(shares as decimal(38,0))")})
+def p4_found(spark: SparkSession, d: str, state_folder: str | None = None) -> DataFrame:
+    """Rows whose arrival made a correction, and those that were refused, as the delta stream tells."""
+    rows, kept = _late(spark, d, False, state_folder)
+    return late.arrivals_by_effect(rows, kept.deltas(), arrival="arrival").select("notice_key", "event_index", "outcome").distinct()
 
 
 def p4_deltas(spark: SparkSession, d: str) -> DataFrame:
     """Monthly rows and shares: retractions and insertions of every published version."""
-    return _deltas(spark, d).select("period", "version", "known_on", "sign", "n_rows", F.col("shares").cast("string").alias("shares"))
+    return _late(spark, d, True)[1].deltas().where("sign <> 0").select("period", "version", "known_on", "sign", "n_rows", F.col("shares").cast("string").alias("shares"))
 
 
 def p4_years(spark: SparkSession, d: str) -> DataFrame:
     """Yearly totals kept from the monthly deltas alone."""
-    return late.roll_up_deltas(_deltas(spark, d), to=F.year("period"), name="year", measures=["n_rows"])
+    return late.roll_up_deltas(_late(spark, d, True)[1].deltas(), to=F.year("period"), name="year", measures=["n_rows"])
 
 
 def relation_edges(spark: SparkSession, d: str) -> DataFrame:

@@ -141,6 +141,11 @@ def swap_pointer(spark: SparkSession, folder: str, value: str, name: str = "_CUR
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), conf).rename(new, path(f"{folder}/{name}"), options)
 
 
+def read_tables(spark: SparkSession, paths: list[str], schema) -> DataFrame:
+    """One scan over tables of one schema; no paths give an empty frame."""
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def read_pointer(spark: SparkSession, folder: str, name: str = "_CURRENT") -> str | None:
     p = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
