@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..runtime import drop_path, materialize, partitions, read_pointer, scratch, swap_pointer
+from ..runtime import broadcast_checked, drop_path, materialize, partitions, read_pointer, read_tables, scratch, swap_pointer
 
 
 def content_hash(columns: list[str]) -> Column:
@@ -21,8 +23,8 @@ def content_hash(columns: list[str]) -> Column:
 class SnapshotIndex:
     """Key-to-hash index of the latest snapshot of each scope.
 
-    apply(snapshot) probes the index with the new rows, fetches old values only for changed keys, and swaps the index
-    by one atomic rename. The index is bucketed by key: of two consecutive snapshots only the new one is shuffled.
+    apply(snapshot) probes the index with the new rows, fetches old values only for changed keys, writes what changed, and swaps the index
+    by one atomic rename. The index is bucketed by key: of two consecutive snapshots only the new one is shuffled. The index before the last one is dropped.
     Nulls are values; null keys are dropped; repeated rows of a snapshot count once; an empty snapshot removes all keys.
     """
 
@@ -48,31 +50,56 @@ class SnapshotIndex:
         (df.write.mode("overwrite").bucketBy(self.buckets, *self.keys).sortBy(*self.keys).option("path", f"{self.folder}/{version}").saveAsTable(name))
         return self._take(name)
 
-    def apply(self, snapshot: DataFrame, *, keep_values: bool = False) -> DataFrame:
+    def committed(self) -> dict:
+        """index: version of the index in force; changes: versions whose changes are committed; last: the label of the last snapshot."""
+        return json.loads(read_pointer(self.spark, self.folder) or '{"index": null, "changes": [], "last": null}')
+
+    def _changes_schema(self, keep_values: bool) -> T.StructType:
+        kinds = self.fields
+        return T.StructType([kinds[k] for k in self.keys] + [T.StructField("change", T.StringType()), T.StructField("snapshot", T.StringType())] + [T.StructField(f"{p}_{v}", kinds[v].dataType) for v in self.values * keep_values for p in ("old", "new")])
+
+    def apply(self, snapshot: DataFrame, *, keep_values: bool = False, label: str | None = None) -> DataFrame:
         """Changes of snapshot against the index: keys, change (ADDED, REMOVED, CHANGED), and with keep_values old_*/new_* values.
 
-        A first snapshot changes nothing. Rows are unique by keys (copies equal in all columns are dropped).
+        New index and changes are written, then both come into force by one rename: until then the old index stands, and the same snapshot can be applied again; a label
+        that is committed last already gives the changes as they were stored. A first snapshot changes nothing. Rows are unique by keys (copies equal in all columns are dropped).
         """
-        spark, keys = self.spark, self.keys
+        spark, keys, told = self.spark, self.keys, self.committed()
+        self.fields = {f.name: f for f in snapshot.schema}
+        schema = self._changes_schema(keep_values)
+        if label is not None and label == told["last"]:
+            return read_tables(spark, [f"{self.folder}/changes-{v}" for v in told["changes"][-1:]], schema).drop("snapshot")
         stored = self.values if keep_values else []
         rows = snapshot.select(*keys, content_hash(self.values).alias("_h"), *stored).dropna(subset=keys).dropDuplicates(keys)
         rows = rows.repartition(self.buckets, *[F.col(k) for k in keys])
         version = f"v-{uuid.uuid4().hex}"
         new = self._write(rows, version)
-        old_version = read_pointer(spark, self.folder)
-        if old_version is None:
-            changes = spark.createDataFrame([], new.select(*keys, F.lit("").alias("change"), *[F.col(v).alias(f"{p}_{v}") for v in stored for p in ("old", "new")]).schema)
-        else:
-            old = self._read(old_version, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new.schema))
+        written = []
+        if told["index"] is not None:
+            old = self._read(told["index"], ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new.schema))
             a, b = old.select(*keys, F.col("_h").alias("_oh")), new.select(*keys, F.col("_h").alias("_nh"))
             kind = F.when(F.col("_oh").isNull(), "ADDED").when(F.col("_nh").isNull(), "REMOVED").otherwise("CHANGED")
-            changes = a.join(b, keys, "full_outer").where(~F.col("_oh").eqNullSafe(F.col("_nh"))).select(*keys, kind.alias("change"))
+            found = a.join(b, keys, "full_outer").where(~F.col("_oh").eqNullSafe(F.col("_nh"))).select(*keys, kind.alias("change"))
+            path = f"{self.folder}/changes-{version}"
             if stored:
-                was = old.select(*keys, *[F.col(v).alias(f"old_{v}") for v in stored])
-                now = new.select(*keys, *[F.col(v).alias(f"new_{v}") for v in stored])
-                changes = changes.join(was, keys, "left").join(now, keys, "left")
-        swap_pointer(spark, self.folder, version)
-        return changes
+                found.write.parquet(f"{path}-keys")
+                found = read_tables(spark, [f"{path}-keys"], T.StructType(schema.fields[: len(keys) + 1]))
+                few = broadcast_checked(found.select(*keys, "change"))  # a checked number of changed keys probes the values where they lie
+                was = old.join(few.where("change <> 'ADDED'"), keys).select(*keys, "change", *[F.col(v).alias(f"old_{v}") for v in stored])
+                now = new.join(few.where("change <> 'REMOVED'"), keys).select(*keys, F.col("change").alias("_change"), *[F.col(v).alias(f"new_{v}") for v in stored])
+                found = was.join(now, keys, "full_outer").withColumn("change", F.coalesce("change", "_change"))
+            found.withColumn("snapshot", F.lit(label).cast("string")).select(*schema.names).write.parquet(path)
+            if stored:
+                drop_path(spark, f"{path}-keys")
+            written = [version]
+        swap_pointer(spark, self.folder, json.dumps({"index": version, "changes": [*told["changes"], *written], "last": label}))
+        if told["index"] is not None:
+            drop_path(spark, f"{self.folder}/{told['index']}")
+        return read_tables(spark, [f"{self.folder}/changes-{v}" for v in written], schema).drop("snapshot")
+
+    def changes(self, keep_values: bool = False) -> DataFrame:
+        """All committed changes in one scan, each with the label of its snapshot."""
+        return read_tables(self.spark, [f"{self.folder}/changes-{v}" for v in self.committed()["changes"]], self._changes_schema(keep_values))
 
     def vacuum(self) -> None:
         drop_path(self.spark, self.folder)
@@ -89,16 +116,14 @@ def replay_snapshots(members: DataFrame, snapshots: DataFrame, *, scope: str, or
     spark = members.sparkSession
     w = Window.partitionBy("_scope").orderBy(order, label)
     listed = snapshots.select(label, order, F.coalesce(F.col(scope), F.lit("")).alias("_scope")).distinct()
-    ranked = [(r[0], r[1], r[2]) for r in listed.select(label, "_scope", F.row_number().over(w)).collect()]
-    names = spark.createDataFrame(ranked, f"`{label}` string, _scope string, _rank int")
-    rows = materialize(members.select(label, *keys, *values).join(F.broadcast(names), label), "snapshot-rows", ["_rank"]) if ranked else None
+    names = materialize(listed.select(label, "_scope", F.row_number().over(w).alias("_rank")), "snapshot-list")
+    steps = names.agg(F.max("_rank")).first()[0] or 0
+    kept = [f"{p}_{v}" for v in values * keep_values for p in ("old", "new")]
+    if not steps:
+        return members.select(label, *keys, F.lit("").alias("change"), *[F.col(k.split("_", 1)[1]).alias(k) for k in kept]).limit(0)
+    rows = materialize(members.select(label, *keys, *values).join(broadcast_checked(names), label), "snapshot-rows", ["_rank"])
     index = SnapshotIndex(spark, ["_scope", *keys], values)
-    out = None
-    for i in range(1, max([r[2] for r in ranked], default=0) + 1):
-        step = index.apply(rows.where(F.col("_rank") == i).drop("_rank", label), keep_values=keep_values)
-        if i > 1:
-            step = step.join(F.broadcast(names.where(F.col("_rank") == i).drop("_rank")), "_scope").drop("_scope")
-            out = step if out is None else out.unionByName(step)
-    if out is None:
-        out = members.select(label, *keys, F.lit("").alias("change"), *[F.col(v).alias(f"{p}_{v}") for v in values * keep_values for p in ("old", "new")]).limit(0)
-    return out.select(label, *keys, "change", *[f"{p}_{v}" for v in values * keep_values for p in ("old", "new")])
+    for i in range(1, steps + 1):
+        index.apply(rows.where(F.col("_rank") == i).drop("_rank", label), keep_values=keep_values, label=str(i))
+    steps_of = names.select(label, "_scope", F.col("_rank").cast("string").alias("snapshot"))
+    return index.changes(keep_values).join(broadcast_checked(steps_of), ["_scope", "snapshot"]).select(label, *keys, "change", *kept)

@@ -71,7 +71,7 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     path = scratch(spark, name)
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = 100_000) -> DataFrame:

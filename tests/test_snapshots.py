@@ -32,3 +32,26 @@ def test_index_is_swapped_and_survives(spark, rows, tmp_path):
     assert SnapshotIndex(spark, ["k"], ["h"], folder).apply(df(("a", "1"))).count() == 0
     again = SnapshotIndex(spark, ["k"], ["h"], folder)  # another process finds the index by its pointer
     assert rows(again.apply(df(("a", "2"), ("b", "1")))) == [("a", "CHANGED"), ("b", "ADDED")]
+
+
+def test_a_snapshot_that_fails_before_the_swap_loses_no_changes(spark, rows, tmp_path, monkeypatch):
+    import pytest
+
+    from chronofold.operators import snapshots
+
+    folder = f"file://{tmp_path}/idx"
+    df = lambda *r: spark.createDataFrame(list(r), "k string, h string")
+    go = lambda d, label: SnapshotIndex(spark, ["k"], ["h"], folder).apply(d, label=label, keep_values=True)
+    go(df(("a", "1"), ("b", "1")), "s1")
+    second = df(("a", "2"), ("c", None))
+    with monkeypatch.context() as m:
+        m.setattr(snapshots, "swap_pointer", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            go(second, "s2")
+    want = [("a", "CHANGED", "1", "2"), ("b", "REMOVED", "1", None), ("c", "ADDED", None, None)]
+    go(second, "s2")  # not consumed
+    assert rows(go(second, "s2")) == want  # applied again: the stored changes, not none
+    go(df(("a", "2")), "s3")
+    index = SnapshotIndex(spark, ["k"], ["h"], folder)
+    index.fields = {f.name: f for f in second.schema}
+    assert rows(index.changes(keep_values=True), "snapshot", "k", "change") == [("s2", "a", "CHANGED"), ("s2", "b", "REMOVED"), ("s2", "c", "ADDED"), ("s3", "c", "REMOVED")]
