@@ -5,7 +5,7 @@ from __future__ import annotations
 import calendar
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clean_key
@@ -147,26 +147,27 @@ def p6_report(spark: SparkSession, d: str) -> DataFrame:
     return orphans.report(_p6(spark, d, True), ref="ref_name", period=F.col("period"))
 
 
-def p7_found(spark: SparkSession, d: str, runs_per_batch: int = 64) -> DataFrame:
-    runs = sorted({(r[1], r[0], r[2]) for r in table(spark, d, "crawl_run").select("run_id", "started_at", "status").where("run_id is not null and started_at is not null").collect()})  # one short row a run
-    belongs, label, ok = [], [], [k for k, r in enumerate(runs) if r[2] == "OK"]
-    for k, r in enumerate(runs):
-        nxt = next((j for j in ok if j >= k), None)
-        if nxt is not None:
-            belongs.append((r[1], ok.index(nxt)))
-    label = [(n, runs[k][1]) for n, k in enumerate(ok)]
+def p7_found(spark: SparkSession, d: str, runs_per_batch: int = 64, state_folder: str | None = None) -> DataFrame:
+    """Work lists of all successful runs, made in batches of successive runs against the state; in a folder of one's own a later call goes on where this one ended."""
+    runs = table(spark, d, "crawl_run").select("run_id", "started_at", "status").where("run_id is not null and started_at is not null").distinct()
+    # runs in their order, each with the number of the first successful one at or behind it: one short row a run
+    behind = Window.orderBy("started_at", "run_id").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    upto = Window.orderBy("started_at", "run_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ok = F.col("status").eqNullSafe("OK")
+    numbered = runs.withColumn("_n", F.when(ok, F.sum(ok.cast("int")).over(upto) - 1)).withColumn("epoch", F.first("_n", ignorenulls=True).over(behind).cast("bigint")).where("epoch is not null")
+    belongs = materialize(numbered.select("run_id", "epoch", ok.alias("is_ok")).distinct(), "run-epochs")
+    n = belongs.agg(F.max("epoch")).first()[0]
     obs = table(spark, d, "notice_observation").select("run_id", "notice_key", "obs_id", "normalized_sha256", "status_observed")
-    state = incremental.IncrementalState(spark, "notice_key", ["normalized_sha256", "status_observed"])
-    out = None
-    for start in range(0, len(label), runs_per_batch):
-        mine = [(r, e) for r, e in belongs if start <= e < start + runs_per_batch]
-        batch = obs.where(F.col("run_id").isin([r for r, _ in mine])).join(F.broadcast(spark.createDataFrame(mine, "run_id string, epoch bigint")), "run_id")
-        work = state.process(batch, epoch="epoch", order="obs_id", last_epoch=min(len(label), start + runs_per_batch) - 1)
-        out = work if out is None else out.unionByName(work)
-    if out is None:
-        return obs.select("run_id", "notice_key").limit(0)
-    names = spark.createDataFrame(label, "epoch bigint, run_id string")
-    return out.join(F.broadcast(names), "epoch").select("run_id", "notice_key")
+    state = incremental.IncrementalState(spark, "notice_key", ["normalized_sha256", "status_observed"], folder=state_folder)
+    last = state.manifest()["last"]
+    start = 0 if last is None else last + 1
+    while n is not None and start <= n:
+        end = min(n, start + runs_per_batch - 1)
+        mine = belongs.where(F.col("epoch").between(start, end)).select("run_id", "epoch")
+        state.process(obs.join(F.broadcast(mine), "run_id"), epoch="epoch", order="obs_id", last_epoch=end)  # a batch has a bounded number of successful runs, and the failed ones between them
+        start = end + 1
+    names = belongs.where("is_ok").select("run_id", "epoch")
+    return state.work().join(broadcast_checked(names), "epoch").select("run_id", "notice_key")
 
 
 def problem_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

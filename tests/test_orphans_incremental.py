@@ -52,3 +52,37 @@ def test_failed_batch_is_done_again(spark, rows, tmp_path, monkeypatch):
         pass
     monkeypatch.setattr(inc, "swap_pointer", swap)
     assert rows(IncrementalState(spark, "k", ["v"], folder).process(df, epoch="e", order="o", last_epoch=0)) == [(0, "a")]
+
+
+def test_state_is_kept_in_buckets_and_misordered_runs_are_refused(spark, rows, tmp_path):
+    import pytest
+
+    from chronofold.errors import UnsupportedQuery
+
+    folder = f"file://{tmp_path}/state"
+    df = lambda *r: spark.createDataFrame(list(r), "e bigint, k string, o bigint, v string")
+    state = lambda: IncrementalState(spark, "k", ["v"], folder, buckets=4)
+    state().process(df(*[(0, f"k{i}", i, "x") for i in range(40)]), epoch="e", order="o", last_epoch=0)
+    before = state().manifest()["buckets"]
+    assert rows(state().process(df((1, "k3", 1, "y"), (1, "k3", 2, "y"), (2, "k3", 3, "x"), (2, "k3", 2, "z")), epoch="e", order="o", last_epoch=2)) == [(1, "k3"), (2, "k3")]
+    after = state().manifest()["buckets"]
+    assert sum(before[b] != after[b] for b in before) == 1  # the bucket of k3 alone was written anew
+    assert state().state().count() == 40 and state().work().count() == 42
+    with pytest.raises(UnsupportedQuery):
+        state().process(df((2, "a", 1, "x"), (3, "a", 2, "y")), epoch="e", order="o", last_epoch=3)
+    with pytest.raises(UnsupportedQuery):
+        state().process(df((5, "a", 1, "x")), epoch="e", order="o", last_epoch=4)
+
+
+def test_work_lists_are_the_same_in_any_batches_and_after_a_restart(spark, rows, tmp_path):
+    import os
+
+    from chronofold.plans import problems
+
+    data = os.environ.get("CHRONOFOLD_TESTDATA", "/root/testdata/sf0.001")
+    if not os.path.isdir(data):
+        return
+    whole = rows(problems.p7_found(spark, data, runs_per_batch=1000))
+    folder = f"file://{tmp_path}/p7"
+    assert rows(problems.p7_found(spark, data, runs_per_batch=17, state_folder=folder)) == whole
+    assert rows(problems.p7_found(spark, data, state_folder=folder)) == whole  # nothing left to do
