@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import materialize
+from ..runtime import materialize, reach_package
 
 # Given names and the short forms people type for them.
 NICKNAMES = {
@@ -56,8 +56,8 @@ _LEGAL_WORDS = frozenset(p for k in LEGAL for p in k.split())
 LEXICON = frozenset(_CANON) | frozenset(COMPOUND) | frozenset(p for w in _ACT for p in w.split("-") if len(p) > 3) | frozenset(p for p in _LEGAL_WORDS if len(p) > 3)
 #: Gain of a correction to a word of the lexicon.
 LEXICAL = 1_000_000
-#: Gain of corrections that lead to a form that nobody typed.
-MUCH_COMMONER = 6
+#: A token is rare up to this number of spellings, or up to this part of the number that a token met at random has: the bound grows with the vocabulary's counts.
+RARE, RARE_PART = 3, 1 / 50
 _LEGAL_LONGEST = sorted(LEGAL, key=lambda k: -len(k.split()))
 
 
@@ -178,7 +178,7 @@ def _person(tokens: list[str], more: frozenset[str] = frozenset()) -> dict | Non
         t = [x for x in t if x != "&"]
         core = [x for x in t if x not in PARTICLES]
         n = 0
-        while n < len(core) and n < 3 and known(core[n]):
+        while n < len(core) - 1 and known(core[n]):
             n += 1
         if n and n < len(core):
             if _initial(core[n]) and n + 1 < len(core) and not _initial(core[n + 1]):
@@ -186,7 +186,7 @@ def _person(tokens: list[str], more: frozenset[str] = frozenset()) -> dict | Non
             first, last = core[:n], core[n:]
         else:
             n = 0
-            while n < len(core) and n < 3 and known(core[-1 - n]):
+            while n < len(core) - 1 and known(core[-1 - n]):
                 n += 1
             if n and n < len(core):
                 if len(core) - n > 2 and _initial(core[-1 - n]):  # ... M. Teresa
@@ -196,7 +196,7 @@ def _person(tokens: list[str], more: frozenset[str] = frozenset()) -> dict | Non
                 n = 0
                 while n < len(core) and _initial(core[n]):
                     n += 1
-                while n and n < len(core) - 1 and n < 3 and known(core[n]):  # J. Luis
+                while n and n < len(core) - 1 and known(core[n]):  # J. Luis
                     n += 1
                 if n and n < len(core):
                     first, last = core[:n], core[n:]
@@ -233,6 +233,27 @@ def _other(tokens: list[str]) -> dict | None:
     return {"kind": "X", "words": sorted(t)} if any(c.isalnum() for x in t if not _initial(x) for c in x) else None
 
 
+def legal_form(tokens: list[str]) -> str | None:
+    """The legal form at the end of an organisation's name, None if it has none or is read as a person."""
+    r = _organisation(tokens)
+    return r["legal"] if r else None
+
+
+def hypotheses(tokens: list[str]) -> set[str]:
+    """Shorter forms under every reading of an unread name's words as given names and surnames, in either order; what initials may stand for."""
+    t = [x for x in tokens if x not in (",", "&") and x not in PARTICLES and x not in TITLES]
+    if not 2 <= len(t) <= 5 or any(_initial(x) for x in t):
+        return set()
+    out = set()
+    for k in range(1, len(t)):
+        for first, last in ((t[:k], t[k:]), (t[k:], t[:k])):
+            if len(first) < 3 and len(last) < 4:
+                second = "".join(last[1:]) if len(last) > 1 else "-"
+                own = f"P|{' '.join(_CANON.get(x, x) for x in first)}|{last[0]}|{second}"
+                out |= {own, *forms_of(own)}
+    return out
+
+
 def parse(tokens: list[str], more: frozenset[str] = frozenset()) -> dict | None:
     return _organisation(tokens) or _person(tokens) or (_person(tokens, more) if more else None)
 
@@ -292,10 +313,11 @@ def rewritings(tokens: list[str], fixes: dict[str, list[tuple[str, int, int]]],
     return out
 
 
-def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_edits: int = 4, rare: int = 3, ratio: int = 3) -> DataFrame:
+def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_edits: int = 4, rare: int = RARE, ratio: int = 3) -> DataFrame:
     """(name, entity) for every spelling with a word in it; spellings of one entity denote one person or organisation.
 
-    1. Tokens that are rare beside a token within two edits (one below six letters), or that sound alike, may stand for it.
+    1. Tokens that are rare beside a token within two edits (one below six letters), or that sound alike, may stand for it. What is rare follows the
+       vocabulary: rare spellings, or RARE_PART of those that a token met at random has.
     2. Every reading of a spelling is rewritten to a canonical form: titles, particles and legal forms go, nicknames and
        abbreviations are spelled out, the token order is undone; each correction counts its edits.
     3. Forms are exploded and joined by equality. A spelled-out form that is rare beside another one reachable by edits is a misspelling of it.
@@ -303,40 +325,46 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
        a link is the rarity of the shared form, 1 / number of entities it may denote at the least number of edits; only a score of 1 links.
     4. Spellings without listed given name, initial, comma, activity or legal form have their words in any order as form; it is joined with the words
        of the spellings that were read, and misspellings among the rest are corrected as in 3. Words that stand behind commas more often than elsewhere
-       are given names like the listed ones.
+       are given names like the listed ones. Short spellings that met nothing join what such words may be shortened to under any reading of them as names.
+    5. Two different legal forms are two entities: a misspelling with another legal form than the entity's own is set apart, and where spellings of its very form have
+       several, each keeps those of its own, and spellings without one stay apart, as they may denote either. A legal form that is left out doesn't count otherwise.
     names: one row per distinct spelling with its number of occurrences. Null, empty and wordless spellings get no row; ties go to
     the alphabetically first form; an empty table gives an empty result.
     """
     spark = names.sparkSession
+    reach_package(spark)
     base = names.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("name")).agg(F.sum(rows).alias("n"))
 
     def cut(batches):
         for pdf in batches:
             toks = [tokens_of(x) for x in pdf["name"]]
             keep = [bool(t) for t in toks]
-            yield pd.DataFrame({"name": pdf["name"], "n": pdf["n"], "tokens": toks})[keep]
+            yield pd.DataFrame({"name": pdf["name"], "n": pdf["n"], "tokens": toks, "legal": [legal_form(t) for t in toks]})[keep]
 
-    typed = materialize(base.mapInPandas(cut, "name string, n bigint, tokens array<string>"), "names-typed")
+    typed = materialize(base.mapInPandas(cut, "name string, n bigint, tokens array<string>, legal string"), "names-typed")
 
     # 1. corrections of tokens
     lexicon = spark.createDataFrame([(w,) for w in sorted(LEXICON)], "t string")
     support = typed.select(F.explode(F.array_distinct("tokens")).alias("t")).where(F.length("t") >= 3).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
     vocab = support.join(F.broadcast(lexicon.withColumn("lex", F.lit(True))), "t", "full_outer").select("t", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("lex", F.lit(False)).alias("lex"))
     vocab = materialize(vocab, "names-vocabulary")
+    met_at_random = vocab.agg(F.sum(F.col("n") * F.col("n")) / F.greatest(F.sum("n"), F.lit(1))).first()[0] or 0
+    rare = max(rare, int(met_at_random * RARE_PART))
 
     def near(batches):
         for pdf in batches:
             out = []
             for t, n, lex in zip(pdf["t"], pdf["n"], pdf["lex"]):
-                out += [(t, n, lex, v) for v in _deletions(t, 2 if len(t) >= 6 else 1 if len(t) > 3 else 0) | {"~" + _sound(t)}]
-            yield pd.DataFrame(out, columns=["t", "n", "lex", "v"])
+                most = 2 if len(t) >= 6 else 1 if len(t) > 3 else 0
+                one = _deletions(t, min(most, 1))
+                out += [(t, n, lex, v, 1) for v in one | {"~" + _sound(t)}]
+                out += [(t, n, lex, v, 2) for v in (_deletions(t, 2) - one if most == 2 else ())]
+            yield pd.DataFrame(out, columns=["t", "n", "lex", "v", "far"])
 
-    around = vocab.mapInPandas(near, "t string, n bigint, lex boolean, v string")
-    wrong = around.where("not lex").select("v", "t", F.col("n").alias("nt"))
-    right = around.select("v", F.col("t").alias("u"), F.col("n").alias("nu"), F.col("lex").alias("ulex"))
-    # the planner can't know how many rows the deletions make: never broadcast them
-    common = F.col("ulex") | ((F.col("nu") > rare) & (F.col("nu") >= ratio * F.col("nt")))
-    may = wrong.join(right.hint("merge"), "v").where((F.col("t") != F.col("u")) & (common | ((F.col("nt") <= rare) & (F.col("nu") >= F.col("nt"))))).select("t", "u", common.alias("common"), F.when(F.col("ulex"), LEXICAL).otherwise(F.col("nu") - F.col("nt")).alias("gain")).distinct()
+    around = materialize(vocab.mapInPandas(near, "t string, n bigint, lex boolean, v string, far int"), "names-around")
+    wrong = around.where("not lex").select("v", "far", "t", F.col("n").alias("nt"))
+    right = around.select("v", F.col("far").alias("_far"), F.col("t").alias("u"), F.col("n").alias("nu"), F.col("lex").alias("ulex"))
+    gain = F.when(F.col("ulex"), LEXICAL).otherwise(F.col("nu") - F.col("nt")).alias("gain")
 
     def measure(batches):
         for pdf in batches:
@@ -347,10 +375,22 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
                 d.append(k if k <= most else 1 if _sound(t) == _sound(u) else 9)
             yield pdf.assign(d=d)
 
-    near_ones = may.mapInPandas(measure, "t string, u string, common boolean, gain bigint, d int").where("d < 9")
-    # a token is taken for another rare one only if that is nearer than any common one: misspellings of one word are many, and near each other
-    gathered = near_ones.groupBy("t").agg(F.coalesce(F.min(F.when(F.col("common"), F.col("d"))), F.lit(9)).alias("_any"), F.array_sort(F.collect_list(F.struct("d", "u", "gain", "common"))).alias("_f"))
-    fixes = gathered.select("t", F.transform(F.filter("_f", lambda f: f["common"] | (f["d"] < F.col("_any"))), lambda f: F.struct(f["d"].alias("d"), f["u"].alias("u"), f["gain"].alias("gain"))).alias("fixes"))
+    def measured(pairs: DataFrame) -> DataFrame:
+        return pairs.select("t", "u", gain).distinct().mapInPandas(measure, "t string, u string, gain bigint, d int").where("d < 9")
+
+    # common tokens, or listed ones, in place of rarer ones; the planner can't know how many rows the deletions make: never broadcast them
+    often = right.where(F.col("ulex") | (F.col("nu") > rare))
+    common = materialize(measured(wrong.join(often.hint("merge"), "v").where((F.col("t") != F.col("u")) & (F.col("ulex") | (F.col("nu") >= ratio * F.col("nt"))))), "names-common")
+    # a token is taken for another rare one only if that is nearer than any common one: misspellings of one word are many, and near each other. Pairs
+    # of rare tokens meet at one deletion, or at two if they begin alike, which keeps the groups that meet short
+    least = common.groupBy("t").agg(F.min("d").alias("_any"))
+    lone_ones = wrong.where(F.col("nt") <= rare).join(least, "t", "left").where(F.col("_any").isNull() | (F.col("_any") > 1)).where(F.col("_any").isNull() | (F.col("far") == 1))
+    block = lambda far, t: F.explode(F.when(F.col(far) == 1, F.array(F.lit(""), F.substring(t, 1, 1))).otherwise(F.array(F.substring(t, 1, 1))))
+    peers = right.where((F.col("nu") < ratio * rare) & ~F.col("ulex")).withColumn("_k", block("_far", "u"))
+    pairs = lone_ones.withColumn("_k", block("far", "t")).join(peers.hint("merge"), ["v", "_k"]).where((F.col("t") != F.col("u")) & (F.col("nu") >= F.col("nt")) & ~((F.col("nu") > rare) & (F.col("nu") >= ratio * F.col("nt"))))
+    rares = measured(pairs).join(least, "t", "left").where(F.col("_any").isNull() | (F.col("d") < F.col("_any"))).drop("_any")
+    near_ones = common.unionByName(rares)
+    fixes = near_ones.groupBy("t").agg(F.array_sort(F.collect_list(F.struct("d", "u", "gain"))).alias("fixes"))
 
     def place(batches):
         for pdf in batches:
@@ -358,7 +398,7 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
 
     # given names besides the listed ones, unless they may be misspellings of these
     placed = typed.select("tokens").mapInPandas(place, "t string, behind int").groupBy("t").agg(F.sum("behind").alias("_g"), F.count(F.lit(1)).alias("_n")).where("2 * _g > _n")
-    given = materialize(placed.join(near_ones.where(F.col("gain") == LEXICAL).select("t").distinct(), "t", "left_anti").select("t", F.lit(True).alias("given")), "names-given")
+    given = materialize(placed.join(common.where(F.col("gain") == LEXICAL).select("t").distinct(), "t", "left_anti").select("t", F.lit(True).alias("given")), "names-given")
     fixes = fixes.join(given, "t", "full_outer")
     fixes = fixes.select("t", "fixes", "given", F.explode_outer("fixes").alias("_x")).join(given.select(F.col("t").alias("_u"), F.col("t").alias("_gu")), F.col("_x.u") == F.col("_u"), "left").groupBy("t").agg(F.first("fixes").alias("fixes"), F.array_compact(F.array_append(F.collect_set("_gu"), F.first(F.when(F.col("given"), F.col("t"))))).alias("given"))
 
@@ -393,14 +433,11 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
     better = alt.where((F.col("gain") > 0) | ((F.col("gain") == 0) & (F.col("form") < F.col("wrong"))))
     step = better.groupBy("wrong").agg(F.min_by("form", F.struct("cost", -F.col("gain"), "form")).alias("form"))
     # misspellings of one form that nobody typed rightly: two different ones that the same commoner tokens correct to the same form
-    lone = forms.where((F.col("level") == 6) & (F.col("cost") > 0) & (F.col("own_level") == 6) & (F.col("own") != F.col("form")) & (F.col("gain") >= MUCH_COMMONER)).select(F.col("own").alias("wrong"), "form", "cost", "gain").distinct()
-    lone = lone.join(complete.select("form"), "form", "left_anti").join(step.select("wrong"), "wrong", "left_anti")
+    lone = forms.where((F.col("level") == 6) & (F.col("cost") > 0) & (F.col("own_level") == 6) & (F.col("own") != F.col("form")) & (F.col("gain") >= 2 * rare)).select(F.col("own").alias("wrong"), "form", "cost", "gain").distinct()
+    lone = materialize(lone.join(complete.select("form"), "form", "left_anti").join(step.select("wrong"), "wrong", "left_anti"), "names-lone")
     met = lone.groupBy("form").agg(F.countDistinct("wrong").alias("_k")).where("_k > 1").select("form")
     untyped = lone.join(met, "form").groupBy("wrong").agg(F.min_by("form", F.struct("cost", -F.col("gain"), "form")).alias("form"))
-    step = materialize(step.unionByName(untyped), "names-misspelled")
-    for _ in range(3):  # a misspelling of a misspelling
-        nxt = step.select(F.col("wrong").alias("form"), F.col("form").alias("_up"))
-        step = step.join(nxt, "form", "left").select("wrong", F.coalesce("_up", "form").alias("form"))
+    step = _followed(materialize(step.unionByName(untyped), "names-misspelled"))  # a misspelling of a misspelling
     roots = complete.select("form").join(step.select(F.col("wrong").alias("form"), F.col("form").alias("entity")), "form", "left").select("form", F.coalesce("entity", "form").alias("entity"))
     roots = materialize(roots.unionByName(roots.select(F.col("entity").alias("form"), "entity")).distinct(), "names-complete")
     first = forms.where("level = 6").join(roots, "form").select("name", "entity", "cost")
@@ -441,7 +478,32 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
     up_to = materialize(wrong_ones.groupBy(F.col("own").alias("wrong")).agg(F.min_by("form", F.struct("cost", -F.col("gain"), "form")).alias("form")), "names-unread-misspelled")
     up_to = _followed(up_to)
     others = alone.select("name", "own").distinct().join(up_to.select(F.col("wrong").alias("own"), F.col("form").alias("_up")), "own", "left").select("name", F.coalesce("_up", "own").alias("entity"))
-    return read.unionByName(met).unionByName(others)
+
+    # short spellings that met nothing, among what unread ones may be shortened to
+    def guess(batches):
+        for pdf in batches:
+            yield pd.DataFrame([(e, f) for e, t in zip(pdf["entity"], pdf["tokens"]) for f in hypotheses(list(t))], columns=["entity", "form"])
+
+    single = left.where("cost = 0 and form = own").select("name", "form").distinct()
+    guessed = others.join(typed.select("name", "tokens"), "name").select("entity", "tokens").mapInPandas(guess, "entity string, form string").distinct().hint("merge")
+    found = materialize(_unique(single.join(guessed, "form").select("name", "entity", F.lit(0).alias("cost"), F.lit(0).alias("odd"))), "names-guessed")
+    # the whole group that a short spelling stands for moves with it
+    moved = found.join(read, "name").select(read["entity"].alias("_from"), found["entity"].alias("_to")).groupBy("_from").agg(F.min("_to").alias("_to"), F.count_distinct("_to").alias("_k")).where("_k = 1")
+    read = read.join(moved.select(F.col("_from").alias("entity"), "_to"), "entity", "left").select("name", F.coalesce("_to", "entity").alias("entity"))
+    return _by_legal_form(read.unionByName(met).unionByName(others), typed, forms.select("name", "own").distinct())
+
+
+def _by_legal_form(linked: DataFrame, typed: DataFrame, own: DataFrame) -> DataFrame:
+    """Entities whose spellings have different legal forms, each spelling that tells one apart under it.
+
+    Spellings of the entity's very form say which legal forms it has; if that is one, only a misspelling with another one is set apart.
+    """
+    of = linked.join(typed.select("name", "legal"), "name").join(own, "name", "left")
+    legal, exact = F.col("legal"), F.col("own") == F.col("entity")
+    told = of.where("legal is not null").groupBy("entity").agg(F.collect_set("legal").alias("_all"), F.collect_set(F.when(exact, legal)).alias("_exact")).where(F.size("_all") > 1)  # sets of listed legal forms
+    several = F.when(F.size("_exact") == 0, F.lit(True)).otherwise((F.size("_exact") > 1) | ~F.array_contains("_exact", legal))
+    apart = F.col("_all").isNotNull() & legal.isNotNull() & several
+    return of.join(told, "entity", "left").select("name", F.when(apart, F.concat_ws("|", "entity", "legal")).otherwise(F.col("entity")).alias("entity"))
 
 
 def _followed(step: DataFrame) -> DataFrame:
