@@ -36,8 +36,8 @@ def mix(docs: DataFrame, targets: list[tuple[str, float, int]], *, doc_id: str,
 
     Within a source the documents stand in the order of (tokens, id); expected copies are summed up along it, one random
     offset a source is added, and a document is emitted once for every integer that its own interval of the sum crosses. The order by size makes the
-    sample's tokens follow the source's. The prefix sums come from sums per (source, tokens, hash bucket), so that a hot source is
-    never sorted in one task. A source of copies at most max_repeats stays so, as its expected copies don't exceed it.
+    sample's tokens follow the source's. The prefix sums come from sums per hash bucket, length and band of lengths of a source, so that a hot source
+    is never sorted or summed up in one task. A source of copies at most max_repeats stays so, as its expected copies don't exceed it.
     Null ids and sources are left out; repeated rows count once; documents without tokens are never used; no documents give no rows.
     """
     spark = docs.sparkSession
@@ -52,8 +52,17 @@ def mix(docs: DataFrame, targets: list[tuple[str, float, int]], *, doc_id: str,
     parts = max(1, -(-max(n for _, n in sums.values()) // rows_per_bucket))
     keyed = base.join(F.broadcast(e), "source").withColumn("_b", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int"))
     per = keyed.groupBy("source", "n_tokens", "_b").agg(F.sum("e").cast("decimal(38,0)").alias("_s"))
-    before = Window.partitionBy("source").orderBy("n_tokens", "_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts = per.select("source", "n_tokens", "_b", (F.sum("_s").over(before) - F.col("_s")).cast("decimal(38,0)").alias("_start"))
+    # what stands in front of a bucket: sums over bands of lengths, over the lengths of its band, over the buckets of its length, so that no window holds more than one of these
+    band = F.floor(F.log2("n_tokens") * 8).cast("int")
+    lengths = per.groupBy("source", "n_tokens").agg(F.sum("_s").cast("decimal(38,0)").alias("_s")).withColumn("_band", band)
+    bands = lengths.groupBy("source", "_band").agg(F.sum("_s").cast("decimal(38,0)").alias("_s"))
+
+    def in_front(df: DataFrame, by: list[str], order: str, name: str) -> DataFrame:
+        w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.select(*by, order, (F.sum("_s").over(w) - F.col("_s")).cast("decimal(38,0)").alias(name))
+
+    of_length = in_front(lengths, ["source", "_band"], "n_tokens", "_in_band").join(in_front(bands, ["source"], "_band", "_bands"), ["source", "_band"])
+    starts = in_front(per, ["source", "n_tokens"], "_b", "_in_length").join(of_length, ["source", "n_tokens"]).select("source", "n_tokens", "_b", (F.col("_bands") + F.col("_in_band") + F.col("_in_length")).cast("decimal(38,0)").alias("_start"))
     inner = Window.partitionBy("source", "n_tokens", "_b").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = (F.col("_start") + F.sum("e").over(inner) + F.col("off")).cast("decimal(38,0)")
     out = keyed.join(starts, ["source", "n_tokens", "_b"]).withColumn("_end", end).withColumn("_from", (F.col("_end") - F.col("e")).cast("decimal(38,0)"))

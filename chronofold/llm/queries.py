@@ -61,6 +61,47 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(mixing.mix(docs, t, doc_id="doc_id", source="source", n_tokens="n_tokens"), docs, t, source="source", n_tokens="n_tokens")
 
 
+def _budget(spark: SparkSession, docs: DataFrame, targets: list[tuple[str, float, int]]) -> int:
+    """All tokens of targeted sources: a mix of that size leaves small sources behind their share."""
+    return docs.where(F.col("source").isin([s for s, *_ in targets if s is not None])).agg(F.sum(F.col("n_tokens").cast("bigint"))).first()[0] or 0
+
+
+def _whole_mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, list[tuple[str, float, int]]]:
+    docs, t = materialize(_counted(spark, d, "doc_id", "source").distinct(), "token-counts"), _targets(spark, d)
+    return mixing.mix(docs, t, doc_id="doc_id", source="source", n_tokens="n_tokens", total_tokens=_budget(spark, docs, t)), docs, t
+
+
+def p9_budget_selection(spark: SparkSession, d: str) -> DataFrame:
+    """The mix as large as all targeted tokens: sources out of reach are used max_repeats times."""
+    return _whole_mix(spark, d)[0]
+
+
+def p9_budget_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Shares really reached by that mix."""
+    mix, docs, t = _whole_mix(spark, d)
+    return mixing.shares(mix, docs, t, source="source", n_tokens="n_tokens")
+
+
+def p8_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """Per capacity: documents placed, and how many containers are too full, documents are split though they fit, or don't have all their tokens."""
+    sizes = materialize(_counted(spark, d, "doc_id").groupBy("doc_id").agg(F.max("n_tokens").alias("_size")), "token-counts")
+    budgets = table(spark, d, "pack_budget").distinct()
+    placed = materialize(p8_containers(spark, d), "containers")
+    full = placed.groupBy("budget_name", "container").agg(F.sum("n_tokens").alias("_t")).join(F.broadcast(budgets), "budget_name").groupBy("budget_name").agg(F.count_if(F.col("_t") > F.col("capacity_tokens")).alias("too_full"))
+    docs = placed.groupBy("budget_name", "doc_id").agg(F.sum("n_tokens").alias("_t"), F.count(F.lit(1)).alias("_k")).join(sizes, "doc_id", "full_outer").join(F.broadcast(budgets), "budget_name", "left")
+    docs = docs.groupBy("budget_name").agg(F.count("doc_id").alias("documents"), F.count_if((F.col("_k") > 1) & (F.col("_size") <= F.col("capacity_tokens"))).alias("split_in_vain"), F.count_if(~F.col("_t").eqNullSafe(F.col("_size"))).alias("incomplete"))
+    return docs.join(full, "budget_name").select("budget_name", "documents", "too_full", "split_in_vain", "incomplete")
+
+
+def p9_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """Per target that can be served: documents used too often, of another source, or that are not there."""
+    sel = p9_budget_selection(spark, d).join(table(spark, d, "documents").select("doc_id", F.col("source").alias("_s")).distinct(), "doc_id", "left")
+    caps = table(spark, d, "mix_target").distinct()
+    return sel.join(F.broadcast(caps), "source", "right").groupBy("source").agg(
+        F.count_if(F.col("copies") > F.col("max_repeats")).alias("too_often"), F.count_if(F.col("copies").isNotNull() & ~F.col("_s").eqNullSafe(F.col("source"))).alias("of_no_such_source"), F.count_if(F.col("copies") < 1).alias("without_copies")
+    )
+
+
 def p10_repaired(spark: SparkSession, d: str) -> DataFrame:
     """Documents with garbled stretches, the decoding chains that were undone, and the text restored."""
     docs = table(spark, d, "documents").select("doc_id", "lang", "text")
@@ -72,8 +113,12 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_entities, p8_containers, p8_fill, p9_selection, p9_shares, p10_found, p10_repaired)}
+    return {f.__name__: f for f in (p1_found, p1_entities, p8_containers, p8_fill, p8_invariants, p9_selection, p9_shares, p9_budget_selection, p9_budget_shares, p9_invariants, p10_found, p10_repaired)}
 
 
 def llm_sql() -> dict[str, str]:
-    return {}
+    """What can be said without a tokenizer: every document is placed once for each capacity, and nothing breaks its bound."""
+    return {
+        "p8_invariants": "SELECT b.budget_name, d.n AS documents, CAST(0 AS BIGINT) AS too_full, CAST(0 AS BIGINT) AS split_in_vain, CAST(0 AS BIGINT) AS incomplete FROM (SELECT DISTINCT budget_name FROM pack_budget) b CROSS JOIN (SELECT count(DISTINCT doc_id) AS n FROM documents) d",
+        "p9_invariants": "SELECT DISTINCT source, CAST(0 AS BIGINT) AS too_often, CAST(0 AS BIGINT) AS of_no_such_source, CAST(0 AS BIGINT) AS without_copies FROM mix_target",
+    }
