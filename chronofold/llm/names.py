@@ -58,7 +58,7 @@ LEXICON = frozenset(_CANON) | frozenset(COMPOUND) | frozenset(p for w in _ACT fo
 LEXICAL = 1_000_000
 #: A token is rare up to this number of spellings, or up to this part of the number that a token met at random has: the bound grows with the vocabulary's counts.
 RARE, RARE_PART = 3, 1 / 50
-_LEGAL_LONGEST = sorted(LEGAL, key=lambda k: -len(k.split()))
+_LEGAL_WORDS_MOST = max(len(k.split()) for k in LEGAL)
 
 
 def fold(text: str) -> str:
@@ -126,6 +126,11 @@ def _initial(t: str) -> bool:
     return len(t) == 2 and t[1] == "."
 
 
+def _legal_words(t: list[str]) -> int:
+    """How many words at the end are a legal form, something being in front of it."""
+    return next((n for n in range(min(_LEGAL_WORDS_MOST, len(t) - 1), 0, -1) if t[-1] in _LEGAL_WORDS and " ".join(t[-n:]) in LEGAL), 0)
+
+
 def _organisation(tokens: list[str]) -> dict | None:
     """Brand, activity, qualifiers and legal form; None if the tokens name no organisation."""
     t = [x for x in tokens if x not in (",", "&") and x not in PARTICLES]
@@ -136,12 +141,8 @@ def _organisation(tokens: list[str]) -> dict | None:
     legal = None
     if tail and glued in LEGAL:
         legal, t = LEGAL[glued], t[:tail]
-    if legal is None:
-        for k in _LEGAL_LONGEST:
-            w = k.split()
-            if len(t) > len(w) and t[-len(w) :] == w:
-                legal, t = LEGAL[k], t[: -len(w)]
-                break
+    if legal is None and (n := _legal_words(t)):
+        legal, t = LEGAL[" ".join(t[-n:])], t[:-n]
     act, k = None, 0
     rest: list[str] = []
     while k < len(t):
@@ -225,11 +226,8 @@ def _other(tokens: list[str]) -> dict | None:
     while len(t) > 1 and t[0] in TITLES:
         t = t[1:]
     t = [x for x in t if x not in PARTICLES]
-    for k in _LEGAL_LONGEST:
-        w = k.split()
-        if len(t) > len(w) and t[-len(w) :] == w:
-            t = t[: -len(w)]
-            break
+    if n := _legal_words(t):
+        t = t[:-n]
     return {"kind": "X", "words": sorted(t)} if any(c.isalnum() for x in t if not _initial(x) for c in x) else None
 
 
@@ -288,12 +286,15 @@ def forms_of(key: str) -> list[str]:
     return [f"P|{a}|{s1}|{b}" for a in gs for b in ss if (a, b) != (g, s2)]
 
 
-def rewritings(tokens: list[str], fixes: dict[str, list[tuple[str, int, int]]], max_edits: int, more: frozenset[str] = frozenset()) -> dict[str, tuple[int, int]]:
+def rewritings(tokens: list[str], fixes: dict[str, list[tuple[str, int, int]]], max_edits: int, more: frozenset[str] = frozenset(), own: dict | None = None) -> dict[str, tuple[int, int]]:
     """Forms of the name at its own specificity: (edits, -how much commoner the corrected tokens are), the least of each; as typed (0, 0).
 
     A name that can't be read as typed has unread forms, too.
     """
-    unread = parse(tokens, more) is None
+    own = own or parse(tokens, more)
+    unread = own is None
+    if not unread and fixes.keys().isdisjoint(tokens):
+        return {key_of(own)[0]: (0, 0)}
     choices = [[(t, 0, 0), *fixes.get(t, ())] for t in tokens]
     out: dict[str, tuple[int, int]] = {}
 
@@ -413,9 +414,10 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
                 toks = list(toks)
                 fix = {} if fx is None else {x["t"]: [(y["u"], int(y["d"]), int(y["gain"])) for y in x["fixes"]] for x in fx if x["fixes"] is not None}
                 more = frozenset() if fx is None else frozenset(g for x in fx for g in x["given"])
-                own = parse(toks, more) or _other(toks)
+                read = parse(toks, more)
+                own = read or _other(toks)
                 mine = key_of(own) if own else ("", 0)
-                for k, (c, g) in rewritings(toks, fix, max_edits, more).items():
+                for k, (c, g) in rewritings(toks, fix, max_edits, more, read).items():
                     out.append((nm, n, mine[0], mine[1], k, _specific(k), c, -g))
             yield pd.DataFrame(out, columns=["name", "n", "own", "own_level", "form", "level", "cost", "gain"])
 
