@@ -69,6 +69,22 @@ def test_shards_and_empty_tables(spark):
     assert pack(spark, [], [("b", 20)]).count() == 0 and pack(spark, [(1, 1, None, None)], []).count() == 0
 
 
+def test_a_vocabulary_can_be_sent_to_the_executors(spark):
+    df = spark.createDataFrame([("la posición final",), (None,)], "text string")
+    sent = tokens.ship_vocabulary(spark)
+    assert [r[0] for r in df.select(tokens.token_count("text", sent)).collect()] == [r[0] for r in df.select(tokens.token_count("text")).collect()]
+
+
+def test_many_lengths_keep_the_exact_sums(spark):
+    """Prefix sums by bands, lengths and buckets give the same copies as one pass in order of (length, bucket, id)."""
+    docs = [(i, "s", 1 + (i * 7919) % 5000, 0) for i in range(400)]
+    for per_bucket in (50, 2_000_000):
+        sel, _ = mix(spark, docs, [("s", 1.0, 3)], total_tokens=600_000, rows_per_bucket=per_bucket)
+        got = sorted((r["n_tokens"], r["copies"]) for r in sel.collect())
+        total = sum(n * c for n, c in got)
+        assert abs(total - 600_000) < 5000 and max(c for _, c in got) - min(c for _, c in got) <= 1
+
+
 def test_token_counts(spark):
     long = "palabra " * 60_000
     df = spark.createDataFrame([("a", "Hola, señor"), ("b", ""), ("c", None), ("d", long), ("e", "<|endoftext|>")], "k string, text string")
