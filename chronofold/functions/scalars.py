@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -112,15 +114,19 @@ def operation_flag(text: Column | str) -> Column:
     return F.when(_c(text) == "A", "ACQUISITION").when(_c(text) == "T", "DISPOSAL")
 
 
-def fingerprint(text: Column | str, trees: list[tuple[str, list[str], list[str]]], default: str = "UNKNOWN") -> Column:
-    """Template by presence and absence of anchors: the first (template, all of, none of) that holds."""
-    out, c = F.lit(default), _c(text)
+def fingerprint(text: Column | str, trees, default: str = "UNKNOWN") -> Column:
+    """The first template of trees (name, needed, avoided) whose needed parts the text holds, any alternative of "a|b", and whose avoided ones it doesn't.
+
+    A null text has the default.
+    """
+    c, out = _c(text), F.lit(default)
     for name, need, avoid in reversed(trees):
         hit = F.lit(True)
-        for a in need:
-            hit = hit & c.contains(a)
-        for a in avoid:
-            hit = hit & ~c.contains(a)
+        for part in need:
+            some = [c.contains(x) for x in part.split("|")]
+            hit = hit & reduce(lambda x, y: x | y, some)
+        for part in avoid:
+            hit = hit & ~c.contains(part)
         out = F.when(hit, name).otherwise(out)
     return F.when(c.isNull(), F.lit(default)).otherwise(out)
 

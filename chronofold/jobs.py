@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from . import schema as S
 from .errors import UnsupportedQuery
 from .functions import scalars as X
+from .operators import documents as DOC
 from .operators import feed as FD
 from .operators import ledger as L
 from .operators import observations as O
@@ -33,7 +34,7 @@ def rebuild(spark: SparkSession, path: str, out: str, from_semantic: bool = Fals
     notice, obs, relations = d.table("notice"), d.table("notice_observation"), R.clean_relations(d.table("notice_relation"))
     observed = O.first_observed(obs, present_first=True)
     if from_semantic:
-        L.source_facts({t: d.table(t) for t in S.SEMANTIC}, notice, observed).write.mode("overwrite").partitionBy("fact_type").parquet(f"{out}/source_fact.parquet")
+        L.source_facts({t: DOC.current_rows(d.table(t), d.table("notice_doc")) for t in S.SEMANTIC}, notice, observed).write.mode("overwrite").partitionBy("fact_type").parquet(f"{out}/source_fact.parquet")
         facts = spark.read.parquet(f"{out}/source_fact.parquet")
     else:
         facts = d.table("source_fact").where("fact_id is not null and notice_key is not null").dropDuplicates(["fact_id"])
@@ -50,6 +51,22 @@ def rebuild(spark: SparkSession, path: str, out: str, from_semantic: bool = Fals
     return {"ledger_events": e["n"], "ledger_digest": e["digest"], "feed_items": f["n"], "feed_digest": f["digest"]}
 
 
+def parse_documents(spark: SparkSession, path: str, docs: DataFrame, cells: DataFrame, *, parse_id: str) -> dict[str, int]:
+    """Semantic rows of documents (doc_id, notice_key, raw_sha256) from their cells (doc_id, page, line, cell, x0, x1, t), delivered as one parse.
+
+    All tables of the parse are staged and become visible by one pointer swap; a parse that is published already does nothing. A later parse of a notice takes the place
+    of the earlier one. Returns the number of notices per state.
+    """
+    d = Dataset.open(spark, path)
+    if parse_id not in d.published():
+        known = d.table("notice").select("notice_key", F.col("source_surface").alias("surface")).dropDuplicates(["notice_key"])
+        rows = DOC.semantic_rows(docs.where("doc_id is not null and notice_key is not null").dropDuplicates(["doc_id"]).join(known, "notice_key"), cells, parse_id)
+        d.stage(parse_id, rows)
+        d.publish(parse_id)
+    done = spark.read.parquet(f"{d.path}/_delivered/{parse_id}/notice_doc.parquet")
+    return {r[0]: r[1] for r in done.groupBy("doc_status").count().collect()}
+
+
 def replace_children(current: DataFrame, new: DataFrame, parent: str = "notice_key") -> DataFrame:
     """Rows of every parent in new replace all rows of that parent: parsing a document again leaves nothing of its old rows."""
     return current.join(new.select(parent).distinct(), parent, "left_anti").unionByName(new, allowMissingColumns=True)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as X
 from . import aggregates as A
 from . import cells as C
+from . import sequences as Q
 
 # What the two forms call their fields, boxes, sections and columns.
 TREASURY_FIELDS = {"issuer_name_document": "(?iu)denominaci.n social|company name", "notification_date_raw": "(?iu)fecha que motiva la notificaci|date giving rise"}
@@ -22,6 +23,9 @@ HOLDING_BOXES = {"reason_voting_rights": "(?iu)adquisici.n o transmisi.n de dere
 HOLDING_POSITIONS = {"position_current": "(?iu)situaci.n resultante|resulting position", "position_previous": "(?iu)posici.n de la notificaci"}
 HOLDING_SHARES = ("(?iu)^7\\.a", "(?iu)subtotal 7\\.a")
 HOLDING_INSTRUMENTS = ("(?iu)^7\\.b\\.1", "(?iu)subtotal 7\\.b\\.1")
+HOLDING_CHAIN = ("(?iu)^8\\.", "(?iu)^9\\.")
+HOLDING_LOYALTY = ("(?iu)^11\\.", "(?iu)^12\\.|^anexo")
+TREASURY_INDIRECT = ("(?iu)^6\\. identificaci|identity and details", "(?iu)^7\\.")
 HOLDING_HEADINGS = "(?iu)^(directo|indirecto)$"
 SHARE_COLUMNS = ("vr_direct", "vr_indirect", "pct_direct", "pct_indirect")
 ISIN, DATE = "^[A-Z]{2}[A-Z0-9]{9,10}$", "^[0-9]{2}/[0-9]{2}/[0-9]{4}$"
@@ -108,3 +112,30 @@ def holdings_form(cells: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     instruments = part.select("doc_id", "n", F.get("cells", F.lit(0)).alias("instrument_type_raw"), F.get(F.filter("cells", lambda t: t.rlike(DATE)), F.lit(0)).alias("expiration_date_raw"), F.get(numbers, F.lit(0)).alias("voting_rights_raw"), F.get(numbers, F.lit(1)).alias("pct_raw"))
     instruments = instruments.select("*", X.date_literal("expiration_date_raw").alias("expiration_date"), X.integer_literal("voting_rights_raw").alias("voting_rights"), X.decimal_literal("pct_raw").alias("pct"))
     return head, shares, instruments
+
+
+def control_chains(cells: DataFrame) -> DataFrame:
+    """Controlled undertakings of section 8 (doc_id, chain_path_index, row_index, entity_name_raw, pct_voting_rights_raw, pct_instruments_raw, pct_total_raw).
+
+    Each path begins with the subject that the first row names; a row is a name with up to three numbers behind it, in their order.
+    """
+    numbers = F.filter("cells", lambda t: X.is_number(t) | X.is_percentage(t))
+    name = F.get(F.filter("cells", lambda t: ~(X.is_number(t) | X.is_percentage(t))), F.lit(0))
+    rows = C.section(C.lines_of(cells), *HOLDING_CHAIN).select("doc_id", "n", name.alias("entity_name_raw"), *[F.get(numbers, F.lit(i)).alias(c) for i, c in enumerate(("pct_voting_rights_raw", "pct_instruments_raw", "pct_total_raw"))]).where("entity_name_raw is not null and pct_voting_rights_raw is not null")
+    paths = Q.restart_paths(rows, ["doc_id"], ["n"], "entity_name_raw", "chain_path_index")
+    return paths.withColumn("row_index", F.row_number().over(Window.partitionBy("doc_id", "chain_path_index").orderBy("n")) - 1).drop("n")
+
+
+def loyalty_rows(cells: DataFrame) -> DataFrame:
+    """Dated rows of the section on loyalty votes (doc_id, n, section, attribution_date_raw, attribution_date)."""
+    dates = F.filter("cells", lambda t: t.rlike(DATE))
+    part = C.section(C.lines_of(cells), *HOLDING_LOYALTY).where(F.size(dates) > 0)
+    return part.select("doc_id", "n", F.lit("11").alias("section"), F.get(dates, F.lit(0)).alias("attribution_date_raw"), X.date_literal(F.get(dates, F.lit(0))).alias("attribution_date"))
+
+
+def indirect_holders(cells: DataFrame) -> DataFrame:
+    """Holders through whom a treasury position is indirect (doc_id, n, name_raw, pct_raw); names that wrap are put together."""
+    pct = F.get(F.filter("cells", lambda t: X.is_percentage(t)), F.lit(0))
+    name = F.array_join(F.filter("cells", lambda t: ~X.is_percentage(t)), " ")
+    part = C.section(C.lines_of(cells), *TREASURY_INDIRECT).select("doc_id", F.lit(0).alias("page"), F.col("n").alias("line"), F.nullif(name, F.lit("")).alias("name_raw"), pct.alias("pct_raw"))
+    return C.open_rows(part, ["name_raw", "pct_raw"], "pct_raw").withColumnRenamed("row_group", "n").where("name_raw is not null")

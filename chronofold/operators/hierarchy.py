@@ -24,11 +24,15 @@ def _store(df: DataFrame, name: str, open_kind: str) -> tuple[DataFrame, int]:
 
 
 def _double(state: DataFrame, still_open: int, open_kind: str, name: str, limit: int) -> tuple[DataFrame, int]:
-    """Pointer doubling: rows of open_kind take over the pointer of the row they point at, until none is open or the walks
-    have 2**limit steps. Every round is a written table, so neither lineage nor a lost executor makes it start again."""
+    """Pointer doubling: rows of open_kind take over the pointer of the row they point at, until none is open, a round closes none, or it is the limit-th.
+
+    Every node of a walk that ends has a row of its own, so as long as walks that end are open, one of them is within twice the steps made and closes in the next round: if none
+    does, all that are left go round. Every round is a written table, so neither lineage nor a lost executor makes it start again."""
+    before = None
     for _ in range(limit):
-        if not still_open:
+        if not still_open or still_open == before:
             break
+        before = still_open
         ahead = state.select(F.col("node").alias("cur"), F.col("cur").alias("_cur"), F.col("dist").alias("_dist"), F.col("kind").alias("_kind"), *([F.col("seg").alias("_seg")] if "seg" in state.columns else []))
         moved = state.where(F.col("kind") == open_kind).join(ahead, "cur").select(
             "node", F.col("_cur").alias("cur"), (F.col("dist") + F.col("_dist")).alias("dist"), F.col("_kind").alias("kind"),
@@ -61,7 +65,7 @@ def resolve_hierarchy(edges: DataFrame, *, parent: str = "parent", child: str =
     state, left = _store(start, "hierarchy-walk", "I")
     state, left = _double(state, left, "I", "hierarchy-walk", walk_rounds)
     if left:  # no splitter within 2**walk_rounds steps: these point only at each other or at solved nodes
-        state, left = _double(state, left, "I", "hierarchy-rest", max(1, math.ceil(math.log2(n_nodes + 1)) - walk_rounds + 1))
+        state, left = _double(state, left, "I", "hierarchy-rest", math.ceil(math.log2(n_nodes + 1)) + 1)
         state = state.withColumn("kind", F.when(F.col("kind") == "I", "C").otherwise(F.col("kind")))
     reduced, left = _store(state.where(_splitter(F.col("node"), every)), "hierarchy-reduced", "S")
     if left:

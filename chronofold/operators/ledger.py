@@ -18,6 +18,65 @@ def assign_fact_ids(rows: DataFrame, payload_sha256: str, by: list[str]) -> Data
     return out.withColumn("fact_id", X.identity(**{k: F.col(k) for k in by}, payload_sha256=F.col(payload_sha256), dup_index=F.col("fact_index")))
 
 
+# What the payload of each kind of fact tells, by the tables it comes from. Nothing that was computed enters a payload.
+NOD_NOTICE = ("notification_kind", "notifying_party_name_raw", "notifying_party_kind", "closely_associated", "related_pdmr_name_raw", "related_pdmr_position_raw", "issuer_name_document", "issuer_lei_document")
+NOD_TRANSACTION = ("instrument_code_raw", "instrument_type_raw", "transaction_nature_raw", "transaction_nature_normalized", "transaction_date_raw", "transaction_date", "venue_raw", "outside_trading_venue", "declared_aggregate_volume", "declared_aggregate_price", "declared_price_currency")
+EXECUTION = ("line_index", "price_raw", "price", "price_currency", "volume_raw", "volume")
+PS_DISCLOSURE = ("issuer_name_document", "obliged_subject_name_raw", "obliged_subject_residence_raw", "threshold_date_raw", "threshold_date", "position_current", "position_previous", "issuer_total_voting_rights", "regulatory_template")
+PS_REASONS = ("reason_voting_rights", "reason_instruments", "reason_issuer_voting_rights_change", "reason_other", "concerted_agreement")
+AC_OPERATION = ("operation_date_raw", "operation_date", "operation_flag_raw", "operation_flag_normalized", "isin", *(f"{c}{r}" for c in ("shares_direct", "price_direct", "shares_indirect", "price_indirect", "vr_direct", "vr_indirect", "pct_direct", "pct_indirect") for r in ("_raw", "")))
+AC_POSITION = ("issuer_name_document", "notification_date_raw", "notification_date", "reason_first_admission", "reason_acquisitions_1pct", "reason_voting_rights_update", "acquisitions_vr_direct", "acquisitions_vr_indirect", "transmissions_vr_direct", "transmissions_vr_indirect", "final_position_json", "regulatory_template")
+
+
+def _record(*columns: str, **more: Column) -> Column:
+    """A struct of the columns in alphabetical order: the canonical form of a payload's part."""
+    parts = {c: F.col(c) for c in columns} | more
+    return F.struct(*[parts[k].alias(k) for k in sorted(parts)])
+
+
+def source_facts(tables: dict[str, DataFrame], notice: DataFrame, observed: DataFrame) -> DataFrame:
+    """Facts of the semantic tables, of parsed notices only, in the columns of source_fact.
+
+    One fact per transaction with its executions, per holdings disclosure with the numbers of its rows, per treasury operation, and per final treasury position.
+    A fact takes effect on its own date, else on its notice's filing date, and is known since its notice was first observed; its identity
+    is its content. Notices without a notice row have neither filing date nor issuer.
+    """
+    parsed = lambda t: tables[t].where(F.col("parse_status").isin(*S.PARSED))
+    text = lambda c: F.to_json(c, {"ignoreNullFields": "false"})
+    nod = parsed("nod_notice_semantic").select("notice_key", "semantic_parser_version", _record(*NOD_NOTICE).alias("_notice"))
+    lines = tables["execution_line"].groupBy("event_id").agg(F.array_sort(F.collect_list(_record_in_order(EXECUTION))).alias("_lines"))
+    tx = tables["transaction_event"].join(nod, "notice_key").join(lines, "event_id", "left").select(
+        "notice_key", F.lit("NOD_TRANSACTION_EVENT").alias("fact_type"), F.col("transaction_date").alias("_on"), F.lit("nod").alias("semantic_parser"), "semantic_parser_version",
+        text(F.struct(F.col("_notice").alias("notice"), _record(*NOD_TRANSACTION, execution_lines=F.col("_lines")).alias("transaction"))).alias("source_payload_json"),
+    )
+    count = lambda t, name: tables[t].groupBy("notice_key").agg(F.count(F.lit(1)).alias(name))
+    rows = {"shares": "ps_shares_row", "instruments": "ps_instrument_row", "chain": "ps_control_chain_row", "loyalty": "ps_loyalty_row"}
+    ps = parsed("ps_notice_semantic")
+    for name, t in rows.items():
+        ps = ps.join(count(t, f"_n_{name}"), "notice_key", "left")
+    ps = ps.select(
+        "notice_key", F.lit("SIGNIFICANT_HOLDING_DISCLOSURE").alias("fact_type"), F.col("threshold_date").alias("_on"), F.lit("ps").alias("semantic_parser"), "semantic_parser_version",
+        text(_record(*PS_DISCLOSURE, reasons=_record(*PS_REASONS), row_counts=_record(**{n: F.coalesce(f"_n_{n}", F.lit(0)) for n in rows}))).alias("source_payload_json"),
+    )
+    ac = parsed("ac_notice_semantic")
+    ops = tables["ac_operation"].join(ac.select("notice_key", "semantic_parser_version", "issuer_name_document", "regulatory_template"), "notice_key").select(
+        "notice_key", F.lit("TREASURY_OPERATION").alias("fact_type"), F.col("operation_date").alias("_on"), F.lit("ac").alias("semantic_parser"), "semantic_parser_version",
+        text(_record(*AC_OPERATION, "issuer_name_document", "regulatory_template")).alias("source_payload_json"),
+    )
+    end = ac.where("final_position_json is not null").select(
+        "notice_key", F.lit("TREASURY_RESULTING_POSITION").alias("fact_type"), F.col("notification_date").alias("_on"), F.lit("ac").alias("semantic_parser"), "semantic_parser_version", text(_record(*AC_POSITION)).alias("source_payload_json"),
+    )
+    n = notice.select("notice_key", "filing_date").dropDuplicates(["notice_key"])
+    out = tx.unionByName(ps).unionByName(ops).unionByName(end).join(n, "notice_key", "left").join(observed, "notice_key", "left")
+    out = out.withColumn("source_payload_sha256", F.sha2("source_payload_json", 256)).withColumn("effective_date", F.coalesce("_on", "filing_date")).drop("_on")
+    return assign_fact_ids(out, "source_payload_sha256", ["notice_key", "fact_type"]).select(*[F.col(f.name).cast(f.dataType) for f in S.TABLES["source_fact"]])
+
+
+def _record_in_order(columns: tuple[str, ...]) -> Column:
+    """A struct of the columns as they stand: its first one orders a list."""
+    return F.struct(*columns)
+
+
 def event_type(fact_type: Column, nature: Column) -> Column:
     """The rule of each fact type; transactions by their nature."""
     return (
@@ -45,7 +104,7 @@ def derive_events(facts: DataFrame, notice: DataFrame, relations: DataFrame, obs
     cols = ["event_type", "event_basis", "issuer_id", "effective_date", "filing_date", "source_notice_key", "source_fact_id", "rule_id", "payload_json", "first_observed_at"]
     ft = F.col("fact_type")
     per_fact = facts.join(n.select("notice_key", "issuer_id"), "notice_key", "left").select(
-        event_type(ft, F.get_json_object("source_payload_json", "$.nature")).alias("event_type"), F.lit(S.DERIVED).alias("event_basis"), "issuer_id", F.coalesce("effective_date", "filing_date").alias("effective_date"), "filing_date",
+        event_type(ft, F.coalesce(F.get_json_object("source_payload_json", "$.transaction.transaction_nature_normalized"), F.get_json_object("source_payload_json", "$.nature"))).alias("event_type"), F.lit(S.DERIVED).alias("event_basis"), "issuer_id", F.coalesce("effective_date", "filing_date").alias("effective_date"), "filing_date",
         F.col("notice_key").alias("source_notice_key"), F.col("fact_id").alias("source_fact_id"), rule_of(ft).alias("rule_id"), F.col("source_payload_json").alias("payload_json"), "first_observed_at",
     )
     filed = facts.select("notice_key").distinct().join(n, "notice_key").join(observed, "notice_key", "left").select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clean_key
@@ -80,6 +80,19 @@ def status_of(edges: DataFrame, keys: list[str], steps: int = 24) -> dict[str, d
     return out
 
 
+def resolved_cancellations(status: DataFrame, edges: DataFrame, observed: DataFrame | None = None, known_at: Column | None = None) -> DataFrame:
+    """(notice_key): notices whose annulment leads to one terminal. With known_at only those of which an annulling notice was observed by then.
+
+    Ambiguous and cyclic targets are no cancellations: nothing says what replaces them. observed: (notice_key, first_observed_at).
+    """
+    out = status.where("relation_status = 'RESOLVED'").select("notice_key")
+    if known_at is None:
+        return out
+    known = observed.where(F.col("first_observed_at") <= known_at).select(F.col("notice_key").alias("parent"))
+    told = edges.where("parent is not null").join(known, "parent", "left_semi").select(F.col("child").alias("notice_key")).distinct()
+    return out.join(told, "notice_key", "left_semi")
+
+
 def current_authoritative(notice_keys: DataFrame, status: DataFrame) -> DataFrame:
     """(notice_key, status, authoritative) of every key: AUTHORITATIVE, SUPERSEDED by the terminal, or the status that forbids a choice."""
     s = notice_keys.select("notice_key").distinct().join(status.select("notice_key", "relation_status", "terminal"), "notice_key", "left")

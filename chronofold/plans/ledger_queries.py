@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -20,7 +20,7 @@ from ..operators import observations as O
 from ..operators import paging as P
 from ..operators import relations as R
 from ..operators import sequences as Q
-from ..runtime import broadcast_checked, table
+from ..runtime import broadcast_checked, file_state, materialize, scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,11 +28,15 @@ SQL: dict[str, str] = {}
 KNOWN_AT, EFFECTIVE_AT = "2023-06-30 00:00:00", "2022-12-31"
 
 
+#: Relations with their keys as they are compared: the reader of the SQL beside relations_of.
+_CLEAN = "(SELECT lower(trim(annulling_key, ' ')) AS annulling_key, lower(trim(annulled_key, ' ')) AS annulled_key, relation_type, observed_run_id FROM notice_relation)"
+
+
 def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
-            SQL[f.__name__] = sql
+            SQL[f.__name__] = sql.replace("FROM notice_relation", f"FROM {_CLEAN}")
         return f
 
     return add
@@ -42,6 +46,10 @@ def known_at():
     return F.lit(f"{KNOWN_AT}+00:00").cast("timestamp")
 
 
+def relations_of(spark: SparkSession, d: str) -> DataFrame:
+    return R.clean_relations(table(spark, d, "notice_relation"))
+
+
 def us(c: str, name: str | None = None):
     return F.unix_micros(c).alias(name or c)
 
@@ -104,7 +112,7 @@ def regime_case(spark, d):
 @query("""SELECT n.notice_key, CASE WHEN a.k IS NOT NULL THEN 'ANULLED' WHEN r.k IS NOT NULL THEN 'RECTIFIED' ELSE n.notice_status END AS notice_status FROM (SELECT DISTINCT notice_key, notice_status FROM notice) n
  LEFT JOIN (SELECT DISTINCT annulled_key AS k FROM notice_relation WHERE relation_type = 'ANNULS') a ON a.k = n.notice_key LEFT JOIN (SELECT DISTINCT annulled_key AS k FROM notice_relation WHERE relation_type = 'RECTIFIES') r ON r.k = n.notice_key""")
 def status_propagation(spark, d):
-    return O.propagate_status(table(spark, d, "notice"), table(spark, d, "notice_relation"))
+    return O.propagate_status(table(spark, d, "notice"), relations_of(spark, d))
 
 
 @query("SELECT doc_id, sha256(text) AS raw_sha256, sha256(text)[1:2] || '/' || sha256(text)[3:4] || '/' || sha256(text) || '.txt' AS path, octet_length(encode(text)) AS raw_bytes FROM documents WHERE text IS NOT NULL")
@@ -168,12 +176,12 @@ _FVR = """(SELECT o.fact_id, w.fact_id AS other_fact_id, CASE WHEN r.relation_ty
 
 @query(f"SELECT * FROM {_FVR}")
 def fact_version_relation(spark, d):
-    return R.fact_version_relation(table(spark, d, "source_fact"), table(spark, d, "notice_relation"))
+    return R.fact_version_relation(table(spark, d, "source_fact"), relations_of(spark, d))
 
 
 @query(f"SELECT relation, count(*) AS n_pairs FROM {_FVR} GROUP BY 1")
 def fact_version_count(spark, d):
-    return R.fact_version_count(table(spark, d, "source_fact"), table(spark, d, "notice_relation"))
+    return R.fact_version_count(table(spark, d, "source_fact"), relations_of(spark, d))
 
 
 @query(f"SELECT DISTINCT notice_key FROM notice n WHERE EXISTS (SELECT 1 FROM notice_observation o WHERE o.notice_key = n.notice_key AND o.observed_at <= {_T})")
@@ -186,12 +194,12 @@ _CANCELLED = f"(SELECT DISTINCT r.annulled_key AS notice_key FROM notice_relatio
 
 @query(f"SELECT * FROM {_CANCELLED}")
 def cancelled_as_of(spark, d):
-    return O.cancelled_as_of(table(spark, d, "notice_observation"), table(spark, d, "notice_relation"), known_at())
+    return O.cancelled_as_of(table(spark, d, "notice_observation"), relations_of(spark, d), known_at())
 
 
 @query(f"SELECT DISTINCT e.event_id, e.source_notice_key FROM ledger_event e WHERE e.source_notice_key NOT IN (SELECT notice_key FROM {_CANCELLED})")
 def anti_not_cancelled(spark, d):
-    gone = O.cancelled_as_of(table(spark, d, "notice_observation"), table(spark, d, "notice_relation"), known_at()).withColumnRenamed("notice_key", "source_notice_key")
+    gone = O.cancelled_as_of(table(spark, d, "notice_observation"), relations_of(spark, d), known_at()).withColumnRenamed("notice_key", "source_notice_key")
     return _ev(spark, d, "event_id", "source_notice_key").where("source_notice_key is not null").join(gone, "source_notice_key", "left_anti").select("event_id", "source_notice_key")
 
 
@@ -222,7 +230,7 @@ _STATUS = f"""(SELECT l.notice_key, CASE WHEN g.k IS NOT NULL THEN 'CANCELLED' E
 
 @query(f"SELECT notice_key, status FROM {_STATUS}")
 def status_as_known_at(spark, d):
-    return O.status_as_of(table(spark, d, "notice_observation"), table(spark, d, "notice_relation"), known_at())
+    return O.status_as_of(table(spark, d, "notice_observation"), relations_of(spark, d), known_at())
 
 
 @query(f"SELECT status, count(*) AS n FROM {_STATUS} GROUP BY 1")
@@ -251,7 +259,7 @@ def events_bitemporal(spark, d):
     """Events known and effective by then whose notice was not cancelled by then, per issuer and type."""
     e = table(spark, d, "ledger_event").where((F.col("first_observed_at") <= known_at()) & (F.col("effective_date") <= F.lit(EFFECTIVE_AT).cast("date")) & F.col("source_notice_key").isNotNull())
     e = e.select("event_id", "event_type", "issuer_id", "effective_date", F.col("source_notice_key").alias("notice_key")).distinct()
-    gone = O.cancelled_as_of(table(spark, d, "notice_observation"), table(spark, d, "notice_relation"), known_at())
+    gone = O.cancelled_as_of(table(spark, d, "notice_observation"), relations_of(spark, d), known_at())
     return e.join(gone, "notice_key", "left_anti").groupBy("issuer_id", "event_type").agg(F.count(F.lit(1)).alias("n_events"), F.min("effective_date").alias("first_effective"), F.max("effective_date").alias("last_effective"))
 
 
@@ -261,30 +269,12 @@ def no_observation_history(spark, d):
     return first.select(F.explode(F.array(F.lit("2000-01-01"), F.lit("2023-01-01"))).alias("asked"), "t").select("asked", F.when(F.concat("asked", F.lit(" 00:00:00+00:00")).cast("timestamp") < F.col("t"), S.NO_HISTORY).otherwise(S.AS_KNOWN_AT).alias("history_mode"))
 
 
-@query(f"SELECT issuer_id, subject, fact_id, effective_date FROM (SELECT n.issuer_id, coalesce(n.declarant_name_raw, n.notice_key) AS subject, f.fact_id, f.effective_date, row_number() OVER (PARTITION BY n.issuer_id, coalesce(n.declarant_name_raw, n.notice_key) ORDER BY coalesce(f.effective_date, DATE '0001-01-01') DESC, f.fact_id DESC) AS rn FROM (SELECT DISTINCT fact_id, notice_key, fact_type, effective_date, first_observed_at FROM source_fact) f JOIN {_N} n ON n.notice_key = f.notice_key WHERE f.fact_type IN ('PS_POSITION', 'SIGNIFICANT_HOLDING_DISCLOSURE') AND f.first_observed_at <= {_T} AND f.notice_key NOT IN (SELECT notice_key FROM {_CANCELLED})) WHERE rn = 1")
-def latest_per_subject(spark, d):
-    """Latest disclosure of each issuer and subject, as known then and not cancelled then."""
-    f = _fact(spark, d, "fact_id", "notice_key", "fact_type", "effective_date", "first_observed_at").where(F.col("fact_type").isin("PS_POSITION", "SIGNIFICANT_HOLDING_DISCLOSURE") & (F.col("first_observed_at") <= known_at()))
-    gone = O.cancelled_as_of(table(spark, d, "notice_observation"), table(spark, d, "notice_relation"), known_at())
-    rows = f.join(_n(spark, d, "notice_key", "issuer_id", "declarant_name_raw"), "notice_key").join(gone, "notice_key", "left_anti").withColumn("subject", F.coalesce("declarant_name_raw", "notice_key"))
-    return Q.latest_per(rows, ["issuer_id", "subject"], [F.coalesce("effective_date", F.lit("0001-01-01").cast("date")), F.col("fact_id")], ["fact_id", "effective_date"])
-
-
 @query(f"SELECT issuer_id, fact_id, effective_date FROM (SELECT n.issuer_id, f.fact_id, f.effective_date, row_number() OVER (PARTITION BY n.issuer_id ORDER BY coalesce(f.effective_date, DATE '0001-01-01') DESC, f.fact_id DESC) AS rn FROM (SELECT DISTINCT fact_id, notice_key, fact_type, effective_date FROM source_fact) f JOIN {_N} n ON n.notice_key = f.notice_key WHERE f.fact_type IN ('TREASURY_POSITION', 'TREASURY_RESULTING_POSITION')) WHERE rn = 1")
 def latest_treasury(spark, d):
     f = _fact(spark, d, "fact_id", "notice_key", "fact_type", "effective_date").where(F.col("fact_type").isin("TREASURY_POSITION", "TREASURY_RESULTING_POSITION"))
     return Q.latest_per(f.join(_n(spark, d, "notice_key", "issuer_id"), "notice_key"), ["issuer_id"], [F.coalesce("effective_date", F.lit("0001-01-01").cast("date")), F.col("fact_id")], ["fact_id", "effective_date"])
 
 
-@query(f"""SELECT e.issuer_id, count(*) FILTER (WHERE starts_with(e.event_type, 'INSIDER_')) AS insider_events, count(*) FILTER (WHERE e.event_type = 'NOTICE_FILED') AS notices_filed, count(*) AS events FROM {_BITEMPORAL} e GROUP BY 1""")
-def state_for_issuer(spark, d):
-    """Projection bundle per issuer from the events of the bitemporal cut."""
-    e = table(spark, d, "ledger_event").where((F.col("first_observed_at") <= known_at()) & (F.col("effective_date") <= F.lit(EFFECTIVE_AT).cast("date")) & F.col("source_notice_key").isNotNull())
-    e = e.select("event_id", "event_type", "issuer_id", "effective_date", F.col("source_notice_key").alias("notice_key")).distinct()
-    e = e.join(O.cancelled_as_of(table(spark, d, "notice_observation"), table(spark, d, "notice_relation"), known_at()), "notice_key", "left_anti")
-    return e.groupBy("issuer_id").agg(F.count_if(F.col("event_type").startswith("INSIDER_")).alias("insider_events"), F.count_if(F.col("event_type") == "NOTICE_FILED").alias("notices_filed"), F.count(F.lit(1)).alias("events"))
-
-
 # ---- graph
 
 _WALK = """WITH RECURSIVE e AS (SELECT DISTINCT lower(trim(annulling_key, ' ')) AS p, lower(trim(annulled_key, ' ')) AS c FROM notice_relation WHERE relation_type = 'ANNULS' AND annulling_key IS NOT NULL AND annulled_key IS NOT NULL),
@@ -315,6 +305,54 @@ def current_authoritative(spark, d):
     return R.current_authoritative(table(spark, d, "notice"), _status(spark, d))
 
 
+_RESOLVED = f"(SELECT s.notice_key FROM st s WHERE s.relation_status = 'RESOLVED' AND EXISTS (SELECT 1 FROM e JOIN {_FOP} f ON f.notice_key = e.p WHERE e.c = s.notice_key AND f.t <= {_T}))"
+_KNOWN_FACTS = f"(SELECT DISTINCT n.issuer_id, n.declarant_name_raw, f.fact_id, f.notice_key, f.fact_type, f.effective_date FROM source_fact f JOIN {_N} n ON n.notice_key = f.notice_key WHERE f.first_observed_at <= {_T} AND f.notice_key NOT IN (SELECT notice_key FROM gone))"
+_HOLDINGS = "(SELECT issuer_id, subject, fact_id, effective_date FROM (SELECT *, coalesce(declarant_name_raw, notice_key) AS subject, row_number() OVER (PARTITION BY issuer_id, coalesce(declarant_name_raw, notice_key) ORDER BY coalesce(effective_date, DATE '0001-01-01') DESC, fact_id DESC) AS rn FROM kf WHERE fact_type IN ('PS_POSITION', 'SIGNIFICANT_HOLDING_DISCLOSURE')) WHERE rn = 1)"
+_STATE = _WALK + f", gone AS {_RESOLVED}, kf AS {_KNOWN_FACTS}, h AS {_HOLDINGS}"
+
+
+def _gone(spark, d):
+    """Notices cancelled for good, as known then."""
+    from .problems import relation_edges
+
+    observed = O.first_observed(table(spark, d, "notice_observation"), present_first=True)
+    return R.resolved_cancellations(_status(spark, d), relation_edges(spark, d), observed, known_at())
+
+
+def _known_facts(spark, d):
+    f = _fact(spark, d, "fact_id", "notice_key", "fact_type", "effective_date", "first_observed_at").where(F.col("first_observed_at") <= known_at())
+    return f.join(_n(spark, d, "notice_key", "issuer_id", "declarant_name_raw"), "notice_key").join(_gone(spark, d), "notice_key", "left_anti")
+
+
+def _latest_holdings(facts):
+    rows = facts.where(F.col("fact_type").isin("PS_POSITION", "SIGNIFICANT_HOLDING_DISCLOSURE")).withColumn("subject", F.coalesce("declarant_name_raw", "notice_key"))
+    return Q.latest_per(rows, ["issuer_id", "subject"], [F.coalesce("effective_date", F.lit("0001-01-01").cast("date")), F.col("fact_id")], ["fact_id", "effective_date"])
+
+
+@query(_STATE + " SELECT issuer_id, subject, fact_id, effective_date FROM h")
+def latest_per_subject(spark, d):
+    """Latest disclosure of each issuer and subject, as known then, of notices not cancelled for good by then."""
+    return _latest_holdings(_known_facts(spark, d))
+
+
+@query(_STATE + f""", t AS (SELECT issuer_id, fact_id AS treasury_fact_id, effective_date AS treasury_date FROM (SELECT *, row_number() OVER (PARTITION BY issuer_id ORDER BY coalesce(effective_date, DATE '0001-01-01') DESC, fact_id DESC) AS rn FROM kf WHERE fact_type IN ('TREASURY_POSITION', 'TREASURY_RESULTING_POSITION')) WHERE rn = 1),
+ i AS (SELECT issuer_id, count(*) AS n FROM (SELECT DISTINCT event_id, issuer_id FROM ledger_event WHERE starts_with(event_type, 'INSIDER_') AND first_observed_at <= {_T}) GROUP BY 1),
+ hs AS (SELECT issuer_id, count(*) AS n, max(effective_date) AS last FROM h GROUP BY 1), ids AS (SELECT issuer_id FROM t UNION SELECT issuer_id FROM i UNION SELECT issuer_id FROM hs)
+ SELECT ids.issuer_id, coalesce(hs.n, 0) AS significant_holdings, hs.last AS last_holding_date, t.treasury_fact_id, t.treasury_date, coalesce(i.n, 0) AS insider_events FROM ids LEFT JOIN hs ON hs.issuer_id IS NOT DISTINCT FROM ids.issuer_id LEFT JOIN t ON t.issuer_id IS NOT DISTINCT FROM ids.issuer_id LEFT JOIN i ON i.issuer_id IS NOT DISTINCT FROM ids.issuer_id""")
+def state_for_issuer(spark, d):
+    """Projection bundle per issuer, as known then: holdings by subject, latest treasury position, reported insider events. Derived, not source truth."""
+    facts = materialize(_known_facts(spark, d), "known-facts")
+    h = _latest_holdings(facts).groupBy("issuer_id").agg(F.count(F.lit(1)).alias("significant_holdings"), F.max("effective_date").alias("last_holding_date"))
+    t = Q.latest_per(facts.where(F.col("fact_type").isin("TREASURY_POSITION", "TREASURY_RESULTING_POSITION")), ["issuer_id"], [F.coalesce("effective_date", F.lit("0001-01-01").cast("date")), F.col("fact_id")], ["fact_id", "effective_date"])
+    e = table(spark, d, "ledger_event").where(F.col("event_type").startswith("INSIDER_") & (F.col("first_observed_at") <= known_at())).select("event_id", "issuer_id").distinct().groupBy("issuer_id").agg(F.count(F.lit(1)).alias("insider_events"))
+    parts = [h, t.select("issuer_id", F.col("fact_id").alias("treasury_fact_id"), F.col("effective_date").alias("treasury_date")), e]
+    # at most one row an issuer in each part, put side by side; null is an issuer of its own
+    shape = {"significant_holdings": "bigint", "last_holding_date": "date", "treasury_fact_id": "string", "treasury_date": "date", "insider_events": "bigint"}
+    rows = [p.select("issuer_id", *[(F.col(c) if c in p.columns else F.lit(None)).cast(k).alias(c) for c, k in shape.items()]) for p in parts]
+    out = rows[0].unionByName(rows[1]).unionByName(rows[2]).groupBy("issuer_id").agg(*[F.max(c).alias(c) for c in shape])
+    return out.na.fill(0, ["significant_holdings", "insider_events"])
+
+
 # ---- facts, events, digests
 
 
@@ -334,7 +372,7 @@ def sha_identity(spark, d):
 
 def derived(spark, d):
     f = _fact(spark, d, "fact_id", "notice_key", "fact_type", "effective_date", "filing_date", "source_payload_json", "first_observed_at").where("notice_key is not null").dropDuplicates(["fact_id"])
-    return L.derive_events(f, table(spark, d, "notice"), table(spark, d, "notice_relation"), O.first_observed(table(spark, d, "notice_observation"), present_first=True))
+    return L.derive_events(f, table(spark, d, "notice"), relations_of(spark, d), O.first_observed(table(spark, d, "notice_observation"), present_first=True))
 
 
 @query(f"""WITH f AS (SELECT DISTINCT fact_id, notice_key, fact_type FROM source_fact WHERE notice_key IS NOT NULL), n AS (SELECT DISTINCT notice_key FROM notice),
@@ -345,6 +383,61 @@ def derived_events(spark, d):
     return derived(spark, d).groupBy("event_type").agg(F.countDistinct("event_id").alias("n_events"))
 
 
+_DERIVED = f"""(WITH f AS (SELECT DISTINCT fact_id, notice_key, fact_type, effective_date, filing_date, source_payload_json, first_observed_at FROM source_fact WHERE notice_key IS NOT NULL), n AS (SELECT DISTINCT notice_key, issuer_id, filing_date FROM notice), fo AS {_FOP}
+ SELECT CASE WHEN f.fact_type LIKE 'NOD_TRANSACTION%' THEN CASE json_extract_string(source_payload_json, '$.nature') WHEN 'BUY' THEN 'INSIDER_ACQUISITION' WHEN 'SELL' THEN 'INSIDER_DISPOSAL' ELSE 'INSIDER_TRANSACTION_OTHER' END WHEN fact_type IN ('PS_POSITION', 'SIGNIFICANT_HOLDING_DISCLOSURE') THEN 'SIGNIFICANT_HOLDING_POSITION_DISCLOSED' WHEN fact_type = 'TREASURY_OPERATION' THEN 'TREASURY_OPERATION_REPORTED' WHEN fact_type IN ('TREASURY_POSITION', 'TREASURY_RESULTING_POSITION') THEN 'TREASURY_STOCK_POSITION_DISCLOSED' END AS event_type,
+  n.issuer_id, coalesce(f.effective_date, f.filing_date) AS effective_date, f.filing_date, f.notice_key AS source_notice_key, f.fact_id AS source_fact_id, epoch_us(f.first_observed_at) AS first_observed_at FROM f LEFT JOIN n ON n.notice_key = f.notice_key
+ UNION ALL SELECT 'NOTICE_FILED', n.issuer_id, n.filing_date, n.filing_date, n.notice_key, NULL, epoch_us(fo.t) FROM n LEFT JOIN fo ON fo.notice_key = n.notice_key WHERE n.notice_key IN (SELECT notice_key FROM f)
+ UNION ALL SELECT 'NOTICE_CANCELLED', n.issuer_id, a.filing_date, a.filing_date, r.annulled_key, NULL, epoch_us(fo.t) FROM (SELECT DISTINCT annulling_key, annulled_key, relation_type FROM notice_relation) r JOIN n ON n.notice_key = r.annulled_key LEFT JOIN n a ON a.notice_key = r.annulling_key LEFT JOIN fo ON fo.notice_key = r.annulling_key)"""
+
+
+@query("SELECT * FROM " + _DERIVED)
+def derived_event_rows(spark, d):
+    """The derived events themselves."""
+    return derived(spark, d).select("event_type", "issuer_id", "effective_date", "filing_date", "source_notice_key", "source_fact_id", us("first_observed_at"))
+
+
+def semantic_tables(spark, d):
+    """Semantic tables as parsing would fill them, out of orders and their lines: a notice an order, a transaction a line; some orders couldn't be parsed."""
+    key = F.concat(F.lit("nod:"), F.col("o_orderkey").cast("string"))
+    o = table(spark, d, "orders").select(key.alias("notice_key"), F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("issuer_id"), F.col("o_orderdate").cast("date").alias("filing_date"), "o_orderstatus").distinct()
+    notice = o.select("notice_key", "issuer_id", "filing_date", F.lit("PDMR_NOTIFICATION").alias("notice_type"), F.lit("nod").alias("source_surface"))
+    l = table(spark, d, "lineitem").select(F.concat(F.lit("nod:"), F.col("l_orderkey").cast("string")).alias("notice_key"), "l_linenumber", "l_returnflag", F.col("l_shipdate").cast("date").alias("transaction_date"), F.col("l_quantity").cast("decimal(18,2)").alias("v")).distinct()
+    l = l.withColumn("event_id", F.concat_ws(":", "notice_key", "l_linenumber", "l_returnflag", "transaction_date", "v"))  # line numbers are repeated here
+    given = {
+        "nod_notice_semantic": o.select("notice_key", F.when(F.col("o_orderstatus") == "F", "PARSED").when(F.col("o_orderstatus") == "O", "PARSED_WITH_UNMAPPED_VALUES").otherwise("UNSUPPORTED_TEMPLATE").alias("parse_status"), F.lit("1").alias("semantic_parser_version")),
+        "transaction_event": l.select("event_id", "notice_key", "transaction_date", F.concat(F.lit("L"), F.col("l_linenumber").cast("string")).alias("venue_raw"), F.when(F.col("l_returnflag") == "A", "BUY").when(F.col("l_returnflag") == "R", "SELL").alias("transaction_nature_normalized")),
+        "execution_line": l.select("event_id", "notice_key", F.lit(0).alias("line_index"), F.col("v").cast("string").alias("volume_raw"), F.col("v").cast("decimal(38,10)").alias("volume")),
+    }
+    whole = {}
+    for t in S.SEMANTIC:
+        df = given.get(t)
+        whole[t] = spark.createDataFrame([], S.TABLES[t]) if df is None else df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in S.TABLES[t]])
+    return whole, notice
+
+
+@query("""WITH o AS (SELECT DISTINCT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS filed FROM orders WHERE o_orderstatus IN ('F', 'O')), l AS (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag, CAST(l_shipdate AS DATE) AS shipped, CAST(l_quantity AS DECIMAL(18,2)) AS v FROM lineitem)
+ SELECT CASE l_returnflag WHEN 'A' THEN 'INSIDER_ACQUISITION' WHEN 'R' THEN 'INSIDER_DISPOSAL' ELSE 'INSIDER_TRANSACTION_OTHER' END AS event_type, 'nod:' || l_orderkey AS source_notice_key, 'C' || o_custkey AS issuer_id, coalesce(shipped, filed) AS effective_date, filed AS filing_date, 'L' || l_linenumber AS venue, CAST(v AS VARCHAR) AS volume FROM l JOIN o ON o_orderkey = l_orderkey
+ UNION ALL SELECT 'NOTICE_FILED', 'nod:' || o_orderkey, 'C' || o_custkey, filed, filed, NULL, NULL FROM o WHERE o_orderkey IN (SELECT l_orderkey FROM l)""")
+def semantic_events(spark, d):
+    """Semantic rows to facts to events, purchases and sales included."""
+    tables, notice = semantic_tables(spark, d)
+    observed = spark.createDataFrame([], "notice_key string, first_observed_at timestamp")
+    facts = L.source_facts(tables, notice, observed)
+    events = L.derive_events(facts, notice, spark.createDataFrame([], S.TABLES["notice_relation"]), observed)
+    g = lambda p: F.get_json_object("payload_json", p)
+    return events.select("event_type", "source_notice_key", "issuer_id", "effective_date", "filing_date", g("$.transaction.venue_raw").alias("venue"), g("$.transaction.execution_lines[0].volume_raw").alias("volume"))
+
+
+_DIGESTED = ("event_id", "event_type", "issuer_id", "payload_json")
+
+
+@query("""WITH r AS (SELECT sha256('{' || """ + " || ',' || ".join(f"""'"{c}":' || coalesce(CAST(to_json({c}) AS VARCHAR), 'null')""" for c in sorted(_DIGESTED)) + """ || '}') AS h FROM (SELECT DISTINCT event_id, event_type, issuer_id, payload_json FROM ledger_event)),
+ s AS (SELECT count(*) AS n, """ + ", ".join(f"CAST(coalesce(sum(CAST('0x' || h[{16 * k + 1}:{16 * k + 15}] AS BIGINT)), 0) AS VARCHAR) AS s{k}" for k in range(4)) + """ FROM r) SELECT n, sha256(n || '|' || s0 || '|' || s1 || '|' || s2 || '|' || s3) AS digest FROM s""")
+def stored_digest(spark, d):
+    """Digest of the events as they are stored: equal for equal sets of rows, whatever their order."""
+    return L.digest(_ev(spark, d, *_DIGESTED), list(_DIGESTED))
+
+
 @query()
 def ledger_digest(spark, d):
     """Digest of the derived ledger: equal for every order and partitioning of the input."""
@@ -400,12 +493,12 @@ def unknown_templates(spark, d):
  SELECT 'observation without run', count(DISTINCT obs_id) FROM notice_observation WHERE run_id IS NULL UNION ALL
  SELECT 'malformed key in relation', count(*) FROM (SELECT DISTINCT annulling_key, annulled_key, relation_type FROM notice_relation WHERE annulling_key NOT LIKE '%:%' OR annulled_key NOT LIKE '%:%')""")
 def invariants(spark, d):
-    return C.invariants(table(spark, d, "notice"), table(spark, d, "source_fact"), table(spark, d, "ledger_event"), table(spark, d, "notice_observation"), table(spark, d, "notice_relation"))
+    return C.invariants(table(spark, d, "notice"), table(spark, d, "source_fact"), table(spark, d, "ledger_event"), table(spark, d, "notice_observation"), relations_of(spark, d))
 
 
 @query("""WITH a AS (SELECT DISTINCT annulling_key, annulled_key FROM notice_relation WHERE relation_type = 'ANNULS' AND annulled_key IS NOT NULL) SELECT 'cancellation_relations_observed' AS metric, count(*) AS value FROM a UNION ALL SELECT 'cancelled_notice_observed', count(*) FROM a WHERE annulled_key IN (SELECT notice_key FROM notice)""")
 def evidence_split(spark, d):
-    return C.evidence_split(table(spark, d, "notice_relation"), table(spark, d, "notice"))
+    return C.evidence_split(relations_of(spark, d), table(spark, d, "notice"))
 
 
 @query("""SELECT (SELECT count(DISTINCT notice_key) FROM notice) AS notices, (SELECT count(DISTINCT obs_id) FROM notice_observation) AS observations, (SELECT count(DISTINCT fact_id) FROM source_fact) AS source_facts, (SELECT count(DISTINCT event_id) FROM ledger_event) AS ledger_events,
@@ -515,7 +608,7 @@ def first_wins(spark, d):
 
 def feed_items(spark, d):
     t = lambda n: table(spark, d, n)
-    return FD.build_feed(_fact(spark, d), t("ledger_event"), t("notice"), t("notice_observation"), t("notice_relation"), t("crawl_run"))
+    return FD.build_feed(_fact(spark, d), t("ledger_event"), t("notice"), t("notice_observation"), relations_of(spark, d), t("crawl_run"))
 
 
 _FEED = f"""(WITH fo AS (SELECT notice_key, observed_at AS t, run_id FROM (SELECT *, row_number() OVER (PARTITION BY notice_key ORDER BY observed_at, run_id) AS rn FROM notice_observation WHERE notice_key IS NOT NULL AND observed_at IS NOT NULL) WHERE rn = 1),
@@ -540,15 +633,30 @@ def feed_counts(spark, d):
     return feed_items(spark, d).groupBy("feed_item_type", "history_class").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stored_feed(spark, d):
+    """The feed as a rebuild stores it, in its own order: written once per dataset and session, and anew when a file of the dataset has changed."""
+    tables = ("source_fact", "ledger_event", "notice", "notice_observation", "notice_relation", "crawl_run")
+    state = repr([file_state(spark, f"{d}/{t}.parquet") for t in tables])
+    held = _STORED.get((spark.sparkContext.applicationId, d))
+    if held is None or held[0] != state:
+        path = scratch(spark, "feed-stored")
+        FD.store_feed(feed_items(spark, d), path)
+        held = _STORED[(spark.sparkContext.applicationId, d)] = (state, path, feed_items(spark, d).schema)
+    return spark.read.schema(held[2]).parquet(held[1])
+
+
+_STORED: dict[tuple[str, str], tuple] = {}
+
+
 @query(f"SELECT epoch_us(max(observed_at)) AS watermark FROM {_FEED} WHERE run_type IS DISTINCT FROM 'BACKFILL'")
 def feed_watermark(spark, d):
-    return FD.watermark(FD.select_feed(feed_items(spark, d))).select(us("watermark"))
+    return FD.watermark(FD.select_feed(stored_feed(spark, d))).select(us("watermark"))
 
 
 @query(f"SELECT item_key, 'v1:' || sha256('feed/v1|' || item_key)[1:32] AS feed_item_id, epoch_us(observed_at) AS observed_at FROM {_FEED} WHERE run_type IS DISTINCT FROM 'BACKFILL' AND observed_at IS NOT NULL ORDER BY observed_at, item_key LIMIT 101")
 def feed_page(spark, d):
-    f = FD.select_feed(feed_items(spark, d)).where("observed_at is not null")
-    return P.page(f, P.ORDERS["feed"], 100).select("item_key", X.feed_item_id("item_key").alias("feed_item_id"), us("observed_at"))
+    f = FD.select_feed(stored_feed(spark, d)).where("observed_at is not null")
+    return P.page(f.select("item_key", "observed_at"), P.ORDERS["feed"], 100).select("item_key", X.feed_item_id("item_key").alias("feed_item_id"), us("observed_at"))
 
 
 @query(f"SELECT item_key, 'v1:' || sha256('feed/v1|' || item_key)[1:32] AS feed_item_id FROM {_FEED}")
@@ -612,9 +720,27 @@ def run_intersect(spark, d):
     return a.intersect(b)
 
 
+def _last_two_of_each(spark, d):
+    w = Window.partitionBy("scope").orderBy(F.desc("started_at"), F.desc("run_id"))
+    runs = table(spark, d, "crawl_run").where("run_type = 'RECONCILIATION' and status = 'OK'").select("run_id", "scope", "started_at").distinct().withColumn("_k", F.row_number().over(w)).where("_k <= 2")
+    seen = table(spark, d, "run_seen").join(broadcast_checked(runs.select("run_id", "scope", "_k")), "run_id").select("scope", "notice_key", "_k").distinct()
+    return seen.where("_k = 1").drop("_k"), seen.where("_k = 2").drop("_k")
+
+
+_SCOPES = "WITH r AS (SELECT run_id, scope, row_number() OVER (PARTITION BY scope ORDER BY started_at DESC, run_id DESC) AS k FROM (SELECT DISTINCT run_id, scope, started_at FROM crawl_run WHERE run_type = 'RECONCILIATION' AND status = 'OK')), a AS (SELECT DISTINCT scope, notice_key FROM run_seen s JOIN r ON r.run_id = s.run_id AND k = 1), b AS (SELECT DISTINCT scope, notice_key FROM run_seen s JOIN r ON r.run_id = s.run_id AND k = 2) "
+
+
+@query(_SCOPES + "SELECT scope, notice_key, 'NEW' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT scope, notice_key, 'GONE' FROM (SELECT * FROM b EXCEPT SELECT * FROM a) UNION ALL SELECT scope, notice_key, 'BOTH' FROM (SELECT * FROM a INTERSECT SELECT * FROM b)")
+def scope_run_diff(spark, d):
+    """Set operations between the last two reconciliations of every scope."""
+    a, b = _last_two_of_each(spark, d)
+    side = lambda df, name: df.withColumn("side", F.lit(name))
+    return side(a.subtract(b), "NEW").unionByName(side(b.subtract(a), "GONE")).unionByName(side(a.intersect(b), "BOTH"))
+
+
 @query("SELECT annulling_key AS notice_key FROM notice_relation WHERE annulling_key IS NOT NULL UNION SELECT annulled_key FROM notice_relation WHERE annulled_key IS NOT NULL")
 def endpoints_union(spark, d):
-    r = table(spark, d, "notice_relation")
+    r = relations_of(spark, d)
     return r.select(F.col("annulling_key").alias("notice_key")).union(r.select("annulled_key")).where("notice_key is not null").distinct()
 
 

@@ -11,6 +11,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .errors import LedgerError
+
 #: Buckets of the first counting pass of heavy_keys; the driver receives those with more than the floor's rows.
 HEAVY_BUCKETS = 1 << 16
 
@@ -30,10 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor can reach, from spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """Folder that every executor can reach, from spark.checkpoint.dir; a temporary one only where that is unset and all is one machine (tests)."""
     told = spark.conf.get("spark.checkpoint.dir", None)
     if told:
         return told.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise LedgerError("spark.checkpoint.dir names no folder that all executors reach")
     held = getattr(spark.sparkContext, "_chronofold_dir", None)
     if held is None:
         held = tempfile.mkdtemp(prefix="chronofold-")
@@ -141,6 +145,19 @@ def swap_pointer(spark: SparkSession, folder: str, value: str, name: str = "_CUR
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), conf).rename(new, path(f"{folder}/{name}"), options)
 
 
+def file_state(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, length and time of every file of a table: what differs when the table was written anew."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    files, out = fs.listFiles(p, True), []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
+
+
 def read_tables(spark: SparkSession, paths: list[str], schema) -> DataFrame:
     """One scan over tables of one schema; no paths give an empty frame."""
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
