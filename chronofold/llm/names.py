@@ -314,7 +314,7 @@ def rewritings(tokens: list[str], fixes: dict[str, list[tuple[str, int, int]]],
     return out
 
 
-def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_edits: int = 4, rare: int = RARE, ratio: int = 3) -> DataFrame:
+def link_variants(names: DataFrame, *, name: str = "name", max_edits: int = 4, rare: int = RARE, ratio: int = 3) -> DataFrame:
     """(name, entity) for every spelling with a word in it; spellings of one entity denote one person or organisation.
 
     1. Tokens that are rare beside a token within two edits (one below six letters), or that sound alike, may stand for it. What is rare follows the
@@ -329,20 +329,20 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
        are given names like the listed ones. Short spellings that met nothing join what such words may be shortened to under any reading of them as names.
     5. Two different legal forms are two entities: a misspelling with another legal form than the entity's own is set apart, and where spellings of its very form have
        several, each keeps those of its own, and spellings without one stay apart, as they may denote either. A legal form that is left out doesn't count otherwise.
-    names: one row per distinct spelling with its number of occurrences. Null, empty and wordless spellings get no row; ties go to
+    names: spellings, repeated ones and other columns making no difference. Null, empty and wordless spellings get no row; ties go to
     the alphabetically first form; an empty table gives an empty result.
     """
     spark = names.sparkSession
     reach_package(spark)
-    base = names.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("name")).agg(F.sum(rows).alias("n"))
+    base = names.where(F.col(name).isNotNull()).select(F.col(name).alias("name")).distinct()
 
     def cut(batches):
         for pdf in batches:
             toks = [tokens_of(x) for x in pdf["name"]]
             keep = [bool(t) for t in toks]
-            yield pd.DataFrame({"name": pdf["name"], "n": pdf["n"], "tokens": toks, "legal": [legal_form(t) for t in toks]})[keep]
+            yield pd.DataFrame({"name": pdf["name"], "tokens": toks, "legal": [legal_form(t) for t in toks]})[keep]
 
-    typed = materialize(base.mapInPandas(cut, "name string, n bigint, tokens array<string>, legal string"), "names-typed")
+    typed = materialize(base.mapInPandas(cut, "name string, tokens array<string>, legal string"), "names-typed")
 
     # 1. corrections of tokens
     lexicon = spark.createDataFrame([(w,) for w in sorted(LEXICON)], "t string")
@@ -404,24 +404,26 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
     fixes = fixes.select("t", "fixes", "given", F.explode_outer("fixes").alias("_x")).join(given.select(F.col("t").alias("_u"), F.col("t").alias("_gu")), F.col("_x.u") == F.col("_u"), "left").groupBy("t").agg(F.first("fixes").alias("fixes"), F.array_compact(F.array_append(F.collect_set("_gu"), F.first(F.when(F.col("given"), F.col("t"))))).alias("given"))
 
     # 2. rewritings
-    per = typed.select("name", F.explode("tokens").alias("t")).join(fixes.hint("merge"), "t").groupBy("name").agg(F.collect_list(F.struct("t", "fixes", "given")).alias("fx"))
-    full = typed.join(per.hint("merge"), "name", "left")
+    # words meet their corrections one by one and come together again as the name's tokens, so that names are shuffled once
+    apart = typed.select("name", F.posexplode("tokens").alias("k", "t")).join(fixes.hint("merge"), "t", "left")
+    full = apart.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("k", "t"))).alias("_t"), F.collect_list(F.when(F.col("fixes").isNotNull() | F.col("given").isNotNull(), F.struct("t", "fixes", "given"))).alias("fx"))
+    full = full.select("name", F.transform("_t", lambda x: x["t"]).alias("tokens"), "fx")
 
     def rewrite(batches):
         for pdf in batches:
             out = []
-            for nm, n, toks, fx in zip(pdf["name"], pdf["n"], pdf["tokens"], pdf["fx"]):
+            for nm, toks, fx in zip(pdf["name"], pdf["tokens"], pdf["fx"]):
                 toks = list(toks)
-                fix = {} if fx is None else {x["t"]: [(y["u"], int(y["d"]), int(y["gain"])) for y in x["fixes"]] for x in fx if x["fixes"] is not None}
-                more = frozenset() if fx is None else frozenset(g for x in fx for g in x["given"])
+                fix = {x["t"]: [(y["u"], int(y["d"]), int(y["gain"])) for y in x["fixes"]] for x in fx if x["fixes"] is not None} if len(fx) else {}
+                more = frozenset(g for x in fx if x["given"] is not None for g in x["given"]) if len(fx) else frozenset()
                 read = parse(toks, more)
                 own = read or _other(toks)
                 mine = key_of(own) if own else ("", 0)
                 for k, (c, g) in rewritings(toks, fix, max_edits, more, read).items():
-                    out.append((nm, n, mine[0], mine[1], k, _specific(k), c, -g))
-            yield pd.DataFrame(out, columns=["name", "n", "own", "own_level", "form", "level", "cost", "gain"])
+                    out.append((nm, mine[0], mine[1], k, _specific(k), c, -g))
+            yield pd.DataFrame(out, columns=["name", "own", "own_level", "form", "level", "cost", "gain"])
 
-    forms = materialize(full.mapInPandas(rewrite, "name string, n bigint, own string, own_level int, form string, level int, cost int, gain bigint"), "names-forms")
+    forms = materialize(full.mapInPandas(rewrite, "name string, own string, own_level int, form string, level int, cost int, gain bigint"), "names-forms")
 
     def shorten(batches):
         for pdf in batches:
@@ -430,13 +432,15 @@ def link_variants(names: DataFrame, *, name: str = "name", rows: str = "n", max_
 
     # 3a. spelled-out forms and their misspellings
     complete = forms.where("cost = 0 and level = 6").select("form").distinct()
-    alt = forms.where("level = 6 and cost > 0 and own_level = 6 and own <> form").select(F.col("own").alias("wrong"), "form", "cost", "gain").join(complete.select("form"), "form", "left_semi")
+    # what every spelled-out form may be corrected to, once for all spellings that have it
+    ways = forms.where("level = 6 and cost > 0 and own_level = 6 and own <> form").groupBy(F.col("own").alias("wrong"), "form").agg(F.min(F.struct("cost", -F.col("gain"))).alias("_v")).select("wrong", "form", "_v.cost", (-F.col("_v.col2")).alias("gain"))
+    ways = materialize(ways.join(complete.withColumn("typed", F.lit(True)), "form", "left"), "names-ways")
+    alt = ways.where("typed")
     # corrected tokens are commoner (of equals, the form is the first by alphabet), so no form is corrected to itself in the end
     better = alt.where((F.col("gain") > 0) | ((F.col("gain") == 0) & (F.col("form") < F.col("wrong"))))
     step = better.groupBy("wrong").agg(F.min_by("form", F.struct("cost", -F.col("gain"), "form")).alias("form"))
     # misspellings of one form that nobody typed rightly: two different ones that the same commoner tokens correct to the same form
-    lone = forms.where((F.col("level") == 6) & (F.col("cost") > 0) & (F.col("own_level") == 6) & (F.col("own") != F.col("form")) & (F.col("gain") >= 2 * rare)).select(F.col("own").alias("wrong"), "form", "cost", "gain").distinct()
-    lone = materialize(lone.join(complete.select("form"), "form", "left_anti").join(step.select("wrong"), "wrong", "left_anti"), "names-lone")
+    lone = materialize(ways.where(F.col("typed").isNull() & (F.col("gain") >= 2 * rare)).join(step.select("wrong"), "wrong", "left_anti"), "names-lone")
     met = lone.groupBy("form").agg(F.countDistinct("wrong").alias("_k")).where("_k > 1").select("form")
     untyped = lone.join(met, "form").groupBy("wrong").agg(F.min_by("form", F.struct("cost", -F.col("gain"), "form")).alias("form"))
     step = _followed(materialize(step.unionByName(untyped), "names-misspelled"))  # a misspelling of a misspelling
