@@ -62,10 +62,13 @@ def is_percentage(text: Column | str) -> Column:
     return _c(text).rlike("^[0-9]{1,3}(,[0-9]+)?( ?%)?$")
 
 
+#: A ticked box and any box: brackets with any one mark, as the forms have x, v and tick signs, or with none; and the signs for boxes.
+TICKED, BOX = "\\[\\s*[^\\]\\s]\\s*\\]|[\u2611\u2612]", "\\[\\s*[^\\]\\s]?\\s*\\]|[\u2610\u2611\u2612]"
+
+
 def checkbox(text: Column | str) -> Column:
-    """[x] true, [ ] false, else null."""
-    mark = F.regexp_extract(_c(text), "\\[ *([xX]?) *\\]", 1)
-    return F.when(~_c(text).rlike("\\[ *[xX]? *\\]"), None).otherwise(F.lower(mark) == "x")
+    """A box with any mark true, an empty one false, else null."""
+    return F.when(_c(text).rlike(BOX), _c(text).rlike(TICKED))
 
 
 def html_clean(text: Column | str) -> Column:

@@ -43,7 +43,7 @@ def value_after(lines: DataFrame, anchors: dict[str, str]) -> DataFrame:
 
 def checked(lines: DataFrame, boxes: dict[str, str]) -> DataFrame:
     """Per document whether the line that matches each pattern has its box ticked; null where there is no such line."""
-    tick = F.col("text").rlike("\\[\\s*[^\\]\\s]\\s*\\]")
+    tick = F.coalesce(X.checkbox("text"), F.lit(False))
     return lines.groupBy("doc_id").agg(*[F.max(F.when(F.col("text").rlike(p), tick)).alias(k) for k, p in boxes.items()])
 
 

@@ -90,7 +90,7 @@ def dataset_info(notice: DataFrame, obs: DataFrame, facts: DataFrame, events: Da
 
 
 def template_report(docs: DataFrame, statuses: list[str]) -> DataFrame:
-    """Documents whose template was not understood, gathered per status and template: (parse_status, regulatory_template, n, examples), the first ten keys as examples."""
+    """Documents whose template was not understood, gathered per status and template: (parse_status, regulatory_template, n, first_key, last_key), the least and the greatest key as examples."""
     rows = docs.where(F.col("parse_status").isin(statuses))
     w = rows.groupBy("parse_status", F.coalesce("regulatory_template", F.lit("NULL")).alias("regulatory_template")).agg(F.count(F.lit(1)).alias("n"), F.min("notice_key").alias("first_key"), F.max("notice_key").alias("last_key"))
     return w

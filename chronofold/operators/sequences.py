@@ -35,15 +35,29 @@ def accumulate_open(df: DataFrame, by: list[str], order: list[str], closes: Colu
     return df.withColumn(name, F.coalesce(F.sum(closes.cast("int")).over(w), F.lit(0)).cast("int"))
 
 
+def place_in_order(df: DataFrame, by: list[str], order: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """df with the place of each row in its stratum's order, from 0, and the strata's sizes.
+
+    Counts per value of the first order column are summed up, then rows are numbered within each value, so that no window holds a whole stratum.
+    """
+    per = df.groupBy(*by, order[0]).agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*by).orderBy(order[0]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = per.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate([*by, order[0]])], (F.sum("_c").over(before) - F.col("_c")).alias("_before"))
+    same = [df[c].eqNullSafe(starts[f"_k{i}"]) for i, c in enumerate([*by, order[0]])]
+    inside = Window.partitionBy(*by, order[0]).orderBy(*(order[1:] or [order[0]]))
+    out = df.join(starts, reduce(lambda a, b: a & b, same)).withColumn(name, F.col("_before") + F.row_number().over(inside) - 1)
+    return out.drop("_before", *[f"_k{i}" for i in range(len(by) + 1)]), per.groupBy(*by).agg(F.sum("_c").alias("_n"))
+
+
 def systematic_sample(df: DataFrame, by: list[str], order: list[str], every: int) -> DataFrame:
     """Every every-th row of each stratum in its order, and the quartile rows {0, n/4, n/2, 3n/4, n-1}; the reason tells which."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*by))
-    d = df.withColumn("_i", F.row_number().over(w) - 1).withColumn("_n", n)
+    placed, sizes = place_in_order(df, by, order, "_i")
+    sizes = sizes.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(by)], "_n")
+    d = placed.join(sizes, reduce(lambda a, b: a & b, [placed[c].eqNullSafe(sizes[f"_s{i}"]) for i, c in enumerate(by)]))
     q = F.array(F.lit(0), F.floor(F.col("_n") / 4), F.floor(F.col("_n") / 2), F.floor(3 * F.col("_n") / 4), F.col("_n") - 1)
     quart = F.array_contains(q.cast("array<bigint>"), F.col("_i").cast("bigint"))
     step = F.col("_i") % every == 0
-    return d.where(step | quart).withColumn("reason", F.when(step & quart, "BOTH").when(step, "STEP").otherwise("QUARTILE")).drop("_i", "_n")
+    return d.where(step | quart).withColumn("reason", F.when(step & quart, "BOTH").when(step, "STEP").otherwise("QUARTILE")).drop("_i", "_n", *[f"_s{i}" for i in range(len(by))])
 
 
 def first_of_each(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

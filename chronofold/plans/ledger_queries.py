@@ -800,6 +800,42 @@ def checkbox(spark, d):
     return df.select("typed", X.checkbox("typed").alias("value"))
 
 
+@query(r"""SELECT doc_id, CASE WHEN regexp_matches(text, '\[\s*[^\]\s]?\s*\]|[☐☑☒]') THEN regexp_matches(text, '\[\s*[^\]\s]\s*\]|[☑☒]') END AS value FROM documents""")
+def checkbox_texts(spark, d):
+    """Whether a text has boxes, and a ticked one among them."""
+    return table(spark, d, "documents").select("doc_id", X.checkbox("text").alias("value"))
+
+
+@query(r"""SELECT doc_id, sha256(trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(text, '<[^>]*>', ' ', 'g'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '[\t\n\v\f\r ' || chr(160) || ']+', ' ', 'g'))) AS clean_sha FROM documents""")
+def html_clean_texts(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.sha2(X.html_clean("text"), 256).alias("clean_sha"))
+
+
+@query("""SELECT DISTINCT obs_id, CAST(2 AS BIGINT) AS n_links, source_url_observed || ' ' || source_url_canonical AS links FROM notice_observation WHERE source_url_observed <> '' AND source_url_canonical <> ''""")
+def html_links_pages(spark, d):
+    """Links of pages made of both addresses of an observation."""
+    o = table(spark, d, "notice_observation").where("source_url_observed <> '' and source_url_canonical <> ''").select("obs_id", "source_url_observed", "source_url_canonical").distinct()
+    html = F.concat(F.lit('<ul><li><a class="x" href="'), "source_url_observed", F.lit('">one</a> href=none <a href="'), "source_url_canonical", F.lit('" id="k">two</a></ul>'))
+    return o.select("obs_id", F.size(X.html_links(html)).cast("bigint").alias("n_links"), F.array_join(X.html_links(html), " ").alias("links"))
+
+
+@query("""SELECT DISTINCT v AS typed, trim(CASE WHEN contains(v, ' - ') THEN v[1:strpos(v, ' - ') - 1] WHEN contains(v, ', ') THEN v[1:strpos(v, ', ') - 1] ELSE v END) AS person, trim(CASE WHEN contains(v, ' - ') THEN v[strpos(v, ' - ') + 3:] WHEN contains(v, ', ') THEN v[strpos(v, ', ') + 2:] END) AS position FROM (SELECT declarant_name_raw AS v FROM notice UNION SELECT declarant_name_raw FROM notice_event) WHERE v IS NOT NULL""")
+def pdmr_split_names(spark, d):
+    names = table(spark, d, "notice").select(F.col("declarant_name_raw").alias("typed")).union(table(spark, d, "notice_event").select("declarant_name_raw")).where("typed is not null").distinct()
+    person, position = X.split_related("typed")
+    return names.select("typed", person.alias("person"), position.alias("position"))
+
+
+@query("""WITH t AS (SELECT doc_id, upper(text) AS u FROM documents) SELECT doc_id, CASE WHEN u IS NULL THEN 'UNSUPPORTED_TEMPLATE'
+ WHEN contains(u, 'PARTICIPACIONES') AND contains(u, 'SIGNIFICATIVAS') AND contains(u, 'STANDARD FORM') THEN CASE WHEN contains(u, 'LEALTAD') OR contains(u, 'LOYALTY') THEN 'CIRC_2_2022_MODEL_1' ELSE 'CIRC_8_2015_MODEL_1' END
+ WHEN contains(u, 'CONSEJEROS') AND contains(u, 'MODELO') THEN CASE WHEN contains(u, 'STANDARD FORM') THEN 'CIRC_8_2015_MODEL_2_DIRECTOR' ELSE 'UNSUPPORTED_LEGACY_TEMPLATE' END
+ WHEN contains(u, 'ACCIONES PROPIAS') OR contains(u, 'OWN SHARES') THEN CASE WHEN NOT contains(u, 'STANDARD FORM') THEN 'UNSUPPORTED_LEGACY_TEMPLATE' WHEN contains(u, 'MODELO 4') OR contains(u, 'FORM #4') THEN 'CIRC_8_2015_MODEL_4' WHEN contains(u, 'MODELO 2') OR contains(u, 'FORM #2') THEN 'CIRC_2_2022_MODEL_2' ELSE 'UNSUPPORTED_TEMPLATE' END
+ WHEN contains(u, 'MODELO') AND NOT contains(u, 'STANDARD FORM') THEN 'UNSUPPORTED_LEGACY_TEMPLATE' ELSE 'UNSUPPORTED_TEMPLATE' END AS template FROM t""")
+def template_anchors(spark, d):
+    """Templates of whole texts by the anchors of the forms."""
+    return table(spark, d, "documents").select("doc_id", X.fingerprint(F.upper("text"), S.TEMPLATES, "UNSUPPORTED_TEMPLATE").alias("template"))
+
+
 @query("SELECT doc_id, CASE WHEN text IS NULL THEN 'UNKNOWN' WHEN contains(text, 'PS_PDF_TEXT') THEN 'PS' WHEN contains(text, 'AC_PDF_TEXT') THEN 'AC' WHEN contains(text, 'NOD_PDF_TEXT') AND NOT contains(text, 'LEGACY') THEN 'NOD' ELSE 'UNKNOWN' END AS template FROM documents")
 def fingerprint_case(spark, d):
     return table(spark, d, "documents").select("doc_id", X.fingerprint("text", [("PS", ["PS_PDF_TEXT"], []), ("AC", ["AC_PDF_TEXT"], []), ("NOD", ["NOD_PDF_TEXT"], ["LEGACY"])]).alias("template"))

@@ -41,13 +41,15 @@ def first_observations(stream: DataFrame) -> DataFrame:
     """
 
     def emit(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best = None
+        if state.exists:
+            return
+        firsts = []
         for pdf in batches:
-            low = min(zip(pdf["at"].tolist(), pdf["run_id"].fillna("").tolist()))
-            best = low if best is None or low < best else best
-        if not state.exists and best is not None:
-            state.update((int(best[0]),))
-            yield pd.DataFrame({"notice_key": [key[0]], "observed_at": [best[0]], "run_id": [best[1]]})
+            at = pdf["at"].min()
+            firsts.append((at, pdf.loc[pdf["at"] == at, "run_id"].fillna("").min()))
+        at, run = min(firsts)
+        state.update((int(at),))
+        yield pd.DataFrame({"notice_key": [key[0]], "observed_at": [at], "run_id": [run]})
 
     rows = stream.where("notice_key is not null and observed_at is not null").select("notice_key", F.unix_micros("observed_at").alias("at"), "run_id")
     return rows.groupBy("notice_key").applyInPandasWithState(emit, "notice_key string, observed_at long, run_id string", "at long", "append", GroupStateTimeout.NoTimeout)
@@ -88,15 +90,38 @@ def daily_counts(stream: DataFrame, time: str = "observed_at", lateness_days: in
     return w.groupBy(F.window(time, "1 day"), "present_in_source").agg(F.count(F.lit(1)).alias("n")).select(F.unix_micros("window.start").alias("day"), "present_in_source", "n")
 
 
-def deliver_once(stream: DataFrame, target: str, key: str, checkpoint: str) -> None:
-    """Append to target only rows whose key it doesn't have: a batch that is done again after a failure delivers nothing twice."""
+def deliver_once(stream: DataFrame, target: str, key: str, checkpoint: str, buckets: int = 32) -> None:
+    """Append to target only rows whose key it doesn't have: a batch that is done again after a failure delivers nothing twice.
+
+    The target lies in buckets of the key's hash (_b), and a batch reads the keys of the buckets that it touches only. Null keys are one key.
+    """
     spark = stream.sparkSession
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
     def batch(df: DataFrame, _: int) -> None:
         p = spark._jvm.org.apache.hadoop.fs.Path(target)
-        fresh = df.dropDuplicates([key])
+        fresh = df.dropDuplicates([key]).withColumn("_b", bucket)
         if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
-            fresh = fresh.join(spark.read.parquet(target).select(key), key, "left_anti")
-        fresh.write.mode("append").parquet(target)
+            touched = [r[0] for r in fresh.select("_b").distinct().collect()]  # at most as many as there are buckets
+            have = spark.read.parquet(target).where(F.col("_b").isin(touched)).select("_b", F.col(key).alias("_have"))
+            fresh = fresh.join(have, (fresh["_b"] == have["_b"]) & fresh[key].eqNullSafe(have["_have"]), "left_anti")
+        fresh.write.mode("append").partitionBy("_b").parquet(target)
 
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def in_batches(table: DataFrame, order: str, batches: int, work, name: str) -> DataFrame:
+    """What a stream gives that meets the table in so many micro-batches of its order: files of one batch land, the stream goes on from its checkpoint, the next ones land.
+
+    work makes the result stream of a source stream. State, watermark and output of every batch are those of a stream that never stopped.
+    """
+    spark = table.sparkSession
+    landing, out, checkpoint = (scratch(spark, f"{name}-{k}") for k in ("landing", "out", "checkpoint"))
+    least, most = table.agg(F.min(order), F.max(order)).first()
+    if least is None:
+        return spark.createDataFrame([], work(table).schema)
+    part = F.least(F.floor((F.col(order) - least) * batches / (most - least + 1)), F.lit(batches - 1))
+    for k in range(batches):
+        table.where(part == k).write.mode("append").parquet(landing)
+        result = run_available(work(spark.readStream.schema(table.schema).parquet(landing)), name, checkpoint=checkpoint, out=out)
+    return result

@@ -31,6 +31,35 @@ def test_ingest_is_idempotent_and_reconciles(spark, tmp_path, rows):
     assert jobs.incremental_pass(spark, path, first, u, run_id="r3", observed_at=utc(2026, 9, 13))["new_notices"] == 0
 
 
+def test_a_run_that_fails_anywhere_delivers_everything_once(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from chronofold.sources import dataset
+    from chronofold.sources.dataset import Dataset
+
+    path = f"{tmp_path}/data"
+    create_tables(spark, path)
+    u = spark.createDataFrame([("A1", "A1")], "issuer_id string, nif string")
+    pages = spark.createDataFrame([("u", block(0, 2026000001) + block(1, 2026000002))], "url string, html string")
+    go = lambda: jobs.ingest_pages(spark, path, pages, u, run_id="r1", run_type="INCREMENTAL", observed_at=utc(2026, 9, 11))
+    lost = lambda *_: (_ for _ in ()).throw(RuntimeError("lost"))
+    stage = Dataset.stage
+    for name, broken in (("publish", lost), ("stage", lambda self, run, tables: (stage(self, run, tables), lost()) if "notice" in tables else stage(self, run, tables))):
+        with monkeypatch.context() as m:
+            m.setattr(Dataset, name, broken)
+            with pytest.raises(RuntimeError):
+                go()
+        assert Dataset.open(spark, path).table("notice_observation").count() == Dataset.open(spark, path).table("run_seen").count() == 0
+    with monkeypatch.context() as m:
+        m.setattr(dataset, "swap_pointer", lost)
+        with pytest.raises(RuntimeError):
+            go()
+    assert go() == {"observations": 2, "new_notices": 2, "relations": 0, "discovered": 0} and go()["observations"] == 0
+    d = Dataset.open(spark, path)
+    assert [d.table(t).count() for t in ("notice_observation", "run_seen", "notice")] == [2, 2, 2]
+    assert [jobs.reconcile(spark, path, run_id="r1", surface="nod", observed_at=utc(2026, 9, 12)) for _ in range(2)] == [0, 0]
+
+
 def test_rebuild_gives_the_same_digests(spark, tmp_path):
     import os
 

@@ -103,4 +103,4 @@ def test_overlap_and_delivery(spark, tmp_path, rows):
     assert rows(ST.run_available(ST.overlap_dedupe(s(), ["obs_id"]), "o"), "obs_id") == [(1,), (2,)]
     for k in range(2):  # the second delivery starts from nothing, as after a lost checkpoint
         ST.deliver_once(s().select("notice_key"), f"{tmp_path}/target", "notice_key", f"{tmp_path}/cp{k}")
-    assert rows(spark.read.parquet(f"{tmp_path}/target")) == [("a",), ("b",)]
+    assert rows(spark.read.parquet(f"{tmp_path}/target"), "notice_key") == [("a",), ("b",)]
