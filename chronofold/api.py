@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +14,13 @@ from .cursors import Bookmarks, check_limit
 from .errors import AmbiguousAnnulment, AmbiguousIdentifier, InvalidTemporalQuery, NotFound, UnsupportedQuery
 from .functions.scalars import feed_item_id
 from .operators import coverage as C
+from .operators import documents as DOC
 from .operators import feed as FD
 from .operators import observations as O
 from .operators import paging as P
 from .operators import relations as R
+from .operators import sequences as Q
+from .runtime import materialize
 from .sources.dataset import Dataset
 from .sources.universe import identifiers
 
@@ -67,6 +70,7 @@ class Ledger:
         self.spark, self.data, self.universe = spark, Dataset.open(spark, path), universe
         self._earliest: datetime | None = None
         self._feed: DataFrame | None = None
+        self._parses: bool | None = None
 
     open = classmethod(lambda cls, spark, path, universe=None: cls(spark, path, universe))
 
@@ -190,13 +194,43 @@ class Ledger:
             n = n.where(F.col("issuer_id") == iid)
         return df.join(n.select("notice_key", "issuer_id", "filing_date").dropDuplicates(["notice_key"]), "notice_key")
 
+    # Where documents have been parsed the lists come from their last parse, parsed notices only; else from the stubs of the listings and from facts.
+
+    def _has_parses(self) -> bool:
+        if self._parses is None:
+            self._parses = not self._t("notice_doc").where("parse_id is not null").limit(1).isEmpty()
+        return self._parses
+
+    def _current(self, name: str) -> DataFrame:
+        return DOC.current_rows(self._t(name), self._t("notice_doc"))
+
+    def _parsed(self, name: str, surfaces: tuple[str, ...], iid: str | None) -> DataFrame:
+        return self._with_notice(self._current(name).where(F.col("parse_status").isin(*S.PARSED)), surfaces, iid)
+
+    def _nested(self, page: QueryResult, key: str, children: dict[str, tuple[str, tuple[str, ...]]]) -> QueryResult:
+        """The page with the child rows of its items, by one query per child table: name -> (table, order)."""
+        asked = [i[key] for i in page.items]
+        if not asked:
+            return page
+        found: dict[str, dict] = {}
+        for name, (t, order) in children.items():
+            of = found.setdefault(name, {})
+            for r in self._current(t).where(F.col(key).isin(asked)).drop("parse_id").orderBy(*order).collect():
+                of.setdefault(r[key], []).append({k: v for k, v in r.asDict().items() if k not in ("notice_key", "event_id")})
+        return replace(page, items=tuple(i | {name: found[name].get(i[key], []) for name in children} for i in page.items))
+
     def insider_transactions(self, issuer=None, known_at=None, effective_at=None, include_cancelled: bool = False, limit: int = 200, cursor=None) -> QueryResult:
         iid = self._issuer(issuer)
-        df = self._with_notice(self._t("notice_event").distinct(), ("nod",), iid).withColumn("event_id", F.format_string("%s:%02d", "notice_key", "event_index"))
+        if self._has_parses():
+            head = self._parsed("nod_notice_semantic", ("nod",), iid).select("notice_key", "issuer_id", "filing_date", "notification_kind", "notifying_party_name_raw", "notifying_party_kind", "closely_associated", "related_pdmr_name_raw", "related_pdmr_position_raw", "regulatory_template")
+            df, on = self._current("transaction_event").drop("parse_id").join(head, "notice_key"), "transaction_date"
+        else:
+            df, on = self._with_notice(self._t("notice_event").distinct(), ("nod",), iid).withColumn("event_id", F.format_string("%s:%02d", "notice_key", "event_index")), "event_date"
         if effective_at:
-            df = df.where(F.col("event_date") <= F.lit(effective_at))
+            df = df.where(F.col(on) <= F.lit(effective_at))
         df = self._uncancelled(self._known(df, known_at), known_at, include_cancelled)
-        return self._page("insider_transactions", df, "insider_transactions", limit, cursor, (iid, include_cancelled), known_at, effective_at)
+        page = self._page("insider_transactions", df, "insider_transactions", limit, cursor, (iid, include_cancelled), known_at, effective_at)
+        return self._nested(page, "event_id", {"executions": ("execution_line", ("event_id", "line_index"))}) if self._has_parses() else page
 
     recent_insider_transactions = insider_transactions
 
@@ -206,28 +240,96 @@ class Ledger:
 
     def significant_holdings(self, issuer=None, known_at=None, effective_at=None, include_cancelled: bool = False, limit: int = 200, cursor=None) -> QueryResult:
         iid = self._issuer(issuer)
-        df = self._facts(("PS_POSITION", "SIGNIFICANT_HOLDING_DISCLOSURE"), ("ps",), iid, "threshold_date")
-        # one disclosure a notice, the position declared in it
-        df = df.groupBy("notice_key", "issuer_id", "filing_date").agg(F.max("threshold_date").alias("threshold_date"), F.array_sort(F.collect_list(F.struct("fact_id", "source_payload_json"))).alias("positions"))
+        if self._has_parses():
+            df = self._parsed("ps_notice_semantic", ("ps",), iid).drop("parse_id")
+        else:
+            df = self._facts(("PS_POSITION", "SIGNIFICANT_HOLDING_DISCLOSURE"), ("ps",), iid, "threshold_date")
+            # one disclosure a notice, the position declared in it
+            df = df.groupBy("notice_key", "issuer_id", "filing_date").agg(F.max("threshold_date").alias("threshold_date"), F.array_sort(F.collect_list(F.struct("fact_id", "source_payload_json"))).alias("positions"))
         if effective_at:
             df = df.where(F.col("threshold_date") <= F.lit(effective_at))
         df = self._uncancelled(self._known(df, known_at), known_at, include_cancelled)
-        return self._page("significant_holdings", df, "significant_holdings", limit, cursor, (iid, include_cancelled), known_at, effective_at)
+        page = self._page("significant_holdings", df, "significant_holdings", limit, cursor, (iid, include_cancelled), known_at, effective_at)
+        if not self._has_parses():
+            return page
+        rows = {"shares": "ps_shares_row", "instruments": "ps_instrument_row", "control_chain": "ps_control_chain_row", "loyalty": "ps_loyalty_row"}
+        return self._nested(page, "notice_key", {n: (t, ("notice_key", *(("chain_path_index",) if n == "control_chain" else ()), "row_index")) for n, t in rows.items()})
 
-    def treasury_stock_positions(self, issuer=None, known_at=None, effective_at=None, limit: int = 200, cursor=None) -> QueryResult:
+    def treasury_stock_positions(self, issuer=None, known_at=None, effective_at=None, include_cancelled: bool = False, limit: int = 200, cursor=None) -> QueryResult:
         iid = self._issuer(issuer)
-        df = self._facts(("TREASURY_POSITION", "TREASURY_RESULTING_POSITION"), ("ac",), iid, "notification_date")
-        df = df.groupBy("notice_key", "issuer_id", "filing_date").agg(F.max_by(F.struct("notification_date", "fact_id", "source_payload_json"), F.struct(F.coalesce("notification_date", F.lit(date(1, 1, 1))), "fact_id")).alias("_p")).select("notice_key", "issuer_id", "filing_date", "_p.*")
+        if self._has_parses():
+            df = self._parsed("ac_notice_semantic", ("ac",), iid).where("final_position_json is not null").drop("parse_id")
+        else:
+            df = self._facts(("TREASURY_POSITION", "TREASURY_RESULTING_POSITION"), ("ac",), iid, "notification_date")
+            df = df.groupBy("notice_key", "issuer_id", "filing_date").agg(F.max_by(F.struct("notification_date", "fact_id", "source_payload_json"), F.struct(F.coalesce("notification_date", F.lit("0001-01-01").cast("date")), "fact_id")).alias("_p")).select("notice_key", "issuer_id", "filing_date", "_p.*")
         if effective_at:
             df = df.where(F.col("notification_date") <= F.lit(effective_at))
-        return self._page("treasury_stock_positions", self._known(df, known_at), "treasury_stock_positions", limit, cursor, (iid,), known_at, effective_at)
+        df = self._uncancelled(self._known(df, known_at), known_at, include_cancelled)
+        page = self._page("treasury_stock_positions", df, "treasury_stock_positions", limit, cursor, (iid, include_cancelled), known_at, effective_at)
+        if not self._has_parses():
+            return page
+        return replace(page, items=tuple({k: v for k, v in i.items() if k != "final_position_json"} | {"final_position": json.loads(i["final_position_json"])} for i in page.items))
 
-    def treasury_operations(self, issuer=None, known_at=None, effective_at=None, limit: int = 200, cursor=None) -> QueryResult:
+    def treasury_operations(self, issuer=None, known_at=None, effective_at=None, include_cancelled: bool = False, limit: int = 200, cursor=None) -> QueryResult:
         iid = self._issuer(issuer)
-        df = self._with_notice(self._t("notice_event").distinct(), ("ac",), iid).withColumnsRenamed({"event_date": "operation_date", "event_index": "row_index"})
+        if self._has_parses():
+            head = self._parsed("ac_notice_semantic", ("ac",), iid).select("notice_key", "issuer_id", "filing_date", "issuer_name_document", "regulatory_template")
+            df = self._current("ac_operation").drop("parse_id").join(head, "notice_key")
+        else:
+            df = self._with_notice(self._t("notice_event").distinct(), ("ac",), iid).withColumnsRenamed({"event_date": "operation_date", "event_index": "row_index"})
         if effective_at:
             df = df.where(F.col("operation_date") <= F.lit(effective_at))
-        return self._page("treasury_operations", self._known(df, known_at), "treasury_operations", limit, cursor, (iid,), known_at, effective_at)
+        df = self._uncancelled(self._known(df, known_at), known_at, include_cancelled)
+        return self._page("treasury_operations", df, "treasury_operations", limit, cursor, (iid, include_cancelled), known_at, effective_at)
+
+    # -- the ledger of one issuer
+
+    def events_for_issuer(self, issuer_id: str, mode: str = S.CURRENT_KNOWLEDGE, effective_at: date | None = None, known_at: datetime | None = None) -> DataFrame:
+        """Events of an issuer in order of effect. AS_KNOWN_AT needs known_at; an instant before all observations gives none."""
+        if mode not in (S.CURRENT_KNOWLEDGE, S.AS_KNOWN_AT):
+            raise InvalidTemporalQuery(f"mode {mode!r}")
+        if mode == S.AS_KNOWN_AT and known_at is None:
+            raise InvalidTemporalQuery("AS_KNOWN_AT asks for known_at")
+        df = self._t("ledger_event").where(F.col("issuer_id") == issuer_id)
+        if effective_at:
+            df = df.where(F.col("effective_date") <= F.lit(effective_at))
+        if mode == S.AS_KNOWN_AT:
+            df = df.where(F.col("first_observed_at") <= self._instant(known_at))
+        return df.distinct().orderBy("effective_date", "event_id")
+
+    def facts_for_issuer(self, issuer_id: str, effective_at: date | None = None, known_at: datetime | None = None) -> DataFrame:
+        """Facts of an issuer's notices in order of effect."""
+        mine = self._t("notice").where(F.col("issuer_id") == issuer_id).select("notice_key").distinct()
+        df = self._t("source_fact").join(mine, "notice_key", "left_semi")
+        if effective_at:
+            df = df.where(F.col("effective_date") <= F.lit(effective_at))
+        if known_at:
+            df = df.where(F.col("first_observed_at") <= self._instant(known_at))
+        return df.dropDuplicates(["fact_id"]).orderBy("effective_date", "fact_id")
+
+    def state_for_issuer(self, issuer_id: str, known_at: datetime | None = None) -> dict:
+        """Derived projection, never source truth: latest disclosure per subject, latest treasury position, insider events, and what can't be resolved.
+
+        A notice counts as cancelled if its annulment leads to one terminal and, with known_at, an annulling notice was observed by then.
+        """
+        instant = self._instant(known_at) if known_at else None
+        facts = self.facts_for_issuer(issuer_id, known_at=known_at)
+        status = self._t("annulment_status") if self.data._exists("annulment_status") else R.annulment_status(self._edges())
+        status = materialize(status.join(self._t("notice").where(F.col("issuer_id") == issuer_id).select("notice_key").distinct(), "notice_key", "left_semi"), "issuer-annulments")
+        gone = R.resolved_cancellations(status, self._edges(), O.first_observed(self._t("notice_observation"), present_first=True), instant)
+        left = facts.join(gone, "notice_key", "left_anti")
+        g = lambda p: F.get_json_object("source_payload_json", p)
+        order = [F.coalesce("effective_date", F.lit("0001-01-01").cast("date")), F.col("fact_id")]
+        ps = left.where(F.col("fact_type").isin("SIGNIFICANT_HOLDING_DISCLOSURE", "PS_POSITION")).withColumn("subject", g("$.obliged_subject_name_raw")).withColumn("_k", F.coalesce("subject", "notice_key")).withColumn("position_current", g("$.position_current"))
+        ps = Q.latest_per(ps, ["_k"], order, ["subject", "fact_id", "notice_key", "effective_date", "filing_date", "position_current"]).drop("_k").withColumn("identity_quality", F.when(F.col("subject").isNotNull(), "ISSUER_SCOPED_RAW_NAME").otherwise("UNRESOLVED"))
+        ac = left.where(F.col("fact_type").isin("TREASURY_RESULTING_POSITION", "TREASURY_POSITION")).withColumn("final_position", g("$.final_position_json")).withColumn("_k", F.lit(1))
+        ac = Q.latest_per(ac, ["_k"], order, ["fact_id", "notice_key", "effective_date", "filing_date", "final_position"]).drop("_k").collect()
+        insiders = self.events_for_issuer(issuer_id, S.AS_KNOWN_AT if known_at else S.CURRENT_KNOWLEDGE, known_at=known_at).where(F.col("event_type").startswith("INSIDER_"))
+        dicts = lambda df: [r.asDict(True) for r in df.collect()]  # noqa: E731 - one issuer's rows
+        return {
+            "issuer_id": issuer_id, "known_at": known_at, "significant_holdings": dicts(ps.orderBy(F.coalesce("subject", F.lit("")), "fact_id")), "treasury_position": ac[0].asDict(True) if ac else None,
+            "reported_insider_events": dicts(insiders), "relation_errors": dicts(status.where("relation_status <> 'RESOLVED'").select("notice_key", "relation_status").orderBy("notice_key")), "projection": "DERIVED_NOT_SOURCE_TRUTH",
+        }
 
     # -- annulment and provenance
 

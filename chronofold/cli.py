@@ -41,8 +41,9 @@ READ = {
     "insiders": Command("insider_transactions", "ident?", PAGE + KNOWN + EFFECTIVE + CANCELLED, "issuer"),
     "recent-insiders": Command("recent_insider_transactions", None, PAGE + KNOWN + EFFECTIVE + CANCELLED),
     "holdings": Command("significant_holdings", "ident?", PAGE + KNOWN + EFFECTIVE + CANCELLED, "issuer"),
-    "treasury-positions": Command("treasury_stock_positions", "ident?", PAGE + KNOWN + EFFECTIVE, "issuer"),
-    "treasury-operations": Command("treasury_operations", "ident?", PAGE + KNOWN + EFFECTIVE, "issuer"),
+    "treasury-positions": Command("treasury_stock_positions", "ident?", PAGE + KNOWN + EFFECTIVE + CANCELLED, "issuer"),
+    "treasury-operations": Command("treasury_operations", "ident?", PAGE + KNOWN + EFFECTIVE + CANCELLED, "issuer"),
+    "state": Command("state_for_issuer", "issuer_id", KNOWN),
     "feed": Command("feed", None, PAGE + ("issuer", "item_type", "include_backfill")),
     "feed-cursor-latest": Command("feed_cursor_latest", None, ("issuer", "item_type", "include_backfill")),
 }

@@ -181,6 +181,15 @@ def test_command_line(ledger, spark, capsys):
     assert len(ET.fromstring(buf.getvalue()).findall("{http://www.w3.org/2005/Atom}entry")) == 3
 
 
+def test_state_of_an_issuer(ledger):
+    now, then = ledger.state_for_issuer("A1"), ledger.state_for_issuer("A1", known_at=T0)
+    held = lambda s: {h["notice_key"] for h in s["significant_holdings"]}
+    assert held(now) == {"ps:100", "ps:new", "ps:5"} and held(then) == {"ps:100", "ps:old", "ps:5"}  # the annulling notice became known later
+    assert now["treasury_position"]["notice_key"] == "ac:1" and {e["notice_key"]: e["relation_status"] for e in now["relation_errors"]} == {"ps:amb": "AMBIGUOUS"}
+    assert [r["event_id"] for r in ledger.events_for_issuer("A1", effective_at=date(2024, 2, 1)).collect()] == ["ev:1", "ev:4"]
+    assert [r["fact_id"] for r in ledger.facts_for_issuer("A1", known_at=T0).where("effective_date is not null").collect()] == ["f2", "f5", "f1"]
+
+
 def test_missing_dataset(spark):
     with pytest.raises(LedgerError):
         Ledger.open(spark, "/nowhere/at/all")

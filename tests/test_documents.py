@@ -73,6 +73,27 @@ def test_documents_become_facts_and_events(spark, base, rows, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out/annulment_status.parquet").count() == 0
 
 
+def test_the_facade_shows_parsed_rows_with_their_children(spark, base):
+    from chronofold.api import Ledger
+    from chronofold.errors import InvalidTemporalQuery
+
+    path, docs, made = base
+    jobs.parse_documents(spark, path, docs, cells(spark, made), parse_id="p1")
+    led = Ledger.open(spark, path)
+    (t,) = led.insider_transactions(issuer="I").items
+    assert (t["event_id"], t["notifying_party_name_raw"], t["aggregate_qa"], [e["volume_raw"] for e in t["executions"]]) == ("nod:1:00", "Oihane Larrea", "MATCH", ["40,00", "10,00"])
+    (h,) = led.significant_holdings(issuer="I").items  # the legacy notice was not parsed
+    assert h["notice_key"] == "ps:1" and len(h["shares"]) == 2 and len(h["instruments"]) == 1 and h["control_chain"] == [] and h["reason_instruments"]
+    (p,) = led.treasury_stock_positions(issuer="I").items
+    assert p["final_position"][0]["vr_total"] == 41134
+    ops = led.treasury_operations(issuer="I", limit=2)
+    assert [o["row_index"] for o in ops.items] == [2, 1] and ops.has_more
+    assert [o["row_index"] for o in led.treasury_operations(issuer="I", limit=2, cursor=ops.next_cursor).items] == [0]
+    with pytest.raises(InvalidTemporalQuery):
+        led.events_for_issuer("I", S.AS_KNOWN_AT)
+    assert led.state_for_issuer("I")["significant_holdings"] == [] and led.facts_for_issuer("I").count() == 0
+
+
 def test_a_later_parse_takes_the_place_of_the_earlier_one(spark, base, rows):
     path, docs, made = base
     jobs.parse_documents(spark, path, docs, cells(spark, made), parse_id="p1")
