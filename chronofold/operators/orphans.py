@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import skew_join
+from ..runtime import materialize, skew_join
 
 
 #: Most missing keys that are broadcast.
@@ -20,7 +20,7 @@ def orphan_references(child: DataFrame, parent: DataFrame, *, fk: str, pk: str,
     """
     keep = keep or []
     keys = child.select(F.col(fk).alias("missing_key")).where("missing_key is not null").distinct()
-    missing = keys.join(parent.select(F.col(pk).alias("missing_key")).where("missing_key is not null").distinct(), "missing_key", "left_anti")
+    missing = materialize(keys.join(parent.select(F.col(pk).alias("missing_key")).where("missing_key is not null").distinct(), "missing_key", "left_anti"), "missing-keys")  # counted and joined back
     rows = child.select(F.col(record).alias("_record"), F.col(fk).alias("missing_key"), *keep).where("missing_key is not null").distinct()
     few = missing.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
     back = rows.join(F.broadcast(missing), "missing_key", "left_semi") if few else skew_join(rows, missing, "missing_key", "left_semi")
