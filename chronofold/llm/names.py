@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterable, Iterator
 from itertools import product
 
 import pandas as pd
@@ -58,6 +59,8 @@ LEXICON = frozenset(_CANON) | frozenset(COMPOUND) | frozenset(p for w in _ACT fo
 LEXICAL = 1_000_000
 #: A token is rare up to this number of spellings, or up to this part of the number that a token met at random has: the bound grows with the vocabulary's counts.
 RARE, RARE_PART = 3, 1 / 50
+#: Rows, and characters of their first column, that Python holds before it passes them on: words and names multiply, and what a batch makes has no bound.
+PIECE, PIECE_CHARS = 20_000, 1 << 20
 _LEGAL_WORDS_MOST = max(len(k.split()) for k in LEGAL)
 
 
@@ -115,6 +118,34 @@ def _deletions(t: str, most: int) -> set[str]:
     return out
 
 
+def _around(t: str) -> Iterator[tuple[str, int]]:
+    """What a token meets near ones at, and the deletions needed: itself and its sound, one deletion, two in words of six letters or more; pairs of places one by one."""
+    most = 2 if len(t) >= 6 else 1 if len(t) > 3 else 0
+    yield from ((v, 1) for v in _deletions(t, min(most, 1)) | {"~" + _sound(t)})
+    if most == 2:
+        yield from ((v, 2) for v in (_deletions(t, 2) - _deletions(t, 1) if len(t) <= 64 else _two_deletions(t)))
+
+
+def _two_deletions(t: str) -> Iterator[str]:
+    """What two deletions leave, one by one, few of them repeatedly: of a letter's run the first goes, and of two places the left one first."""
+    for i in range(len(t)):
+        if not i or t[i] != t[i - 1]:
+            u = t[:i] + t[i + 1 :]
+            yield from (u[:j] + u[j + 1 :] for j in range(i, len(u)) if not j or u[j] != u[j - 1])
+
+
+def _pieces(rows: Iterable[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """Frames of PIECE rows at most, of fewer where the first column is long."""
+    out, chars = [], 0
+    for r in rows:
+        out.append(r)
+        chars += len(r[0])
+        if len(out) == PIECE or chars > PIECE_CHARS:
+            yield pd.DataFrame(out, columns=columns)
+            out, chars = [], 0
+    yield pd.DataFrame(out, columns=columns)
+
+
 def _sound(t: str) -> str:
     """Letters that Spanish speakers take for one another."""
     for a, b in (("ll", "y"), ("ny", "n"), ("ch", "sh"), ("qu", "k"), ("z", "s"), ("v", "b"), ("ce", "se"), ("ci", "si"), ("ge", "je"), ("gi", "ji"), ("h", "")):
@@ -286,32 +317,48 @@ def forms_of(key: str) -> list[str]:
     return [f"P|{a}|{s1}|{b}" for a in gs for b in ss if (a, b) != (g, s2)]
 
 
-def rewritings(tokens: list[str], fixes: dict[str, list[tuple[str, int, int]]], max_edits: int, more: frozenset[str] = frozenset(), own: dict | None = None) -> dict[str, tuple[int, int]]:
+def rewritings(tokens: list[str], fixes: dict[str, list[tuple[str, int, int]]], max_edits: int, more: frozenset[str] = frozenset(), own: dict | None = None) -> Iterator[dict[str, tuple[int, int]]]:
     """Forms of the name at its own specificity: (edits, -how much commoner the corrected tokens are), the least of each; as typed (0, 0).
 
-    A name that can't be read as typed has unread forms, too.
+    A name that can't be read as typed has unread forms, too. Forms come in pieces of PIECE; one that is in several has its least value in one of them.
     """
     own = own or parse(tokens, more)
     unread = own is None
     if not unread and fixes.keys().isdisjoint(tokens):
-        return {key_of(own)[0]: (0, 0)}
+        yield {key_of(own)[0]: (0, 0)}
+        return
     choices = [[(t, 0, 0), *fixes.get(t, ())] for t in tokens]
-    out: dict[str, tuple[int, int]] = {}
 
-    def go(i: int, chosen: list[str], cost: int, gain: int) -> None:
+    def go(i: int, chosen: list[str], cost: int, gain: int):
         if i == len(choices):
-            v = (cost, -gain)
-            for r in (parse(chosen, more), _other(chosen) if unread else None):
-                k = key_of(r)[0] if r else None
-                if k and (k not in out or v < out[k]):
-                    out[k] = v
+            yield chosen, (cost, -gain)
             return
         for t, c, g in choices[i]:
             if cost + c <= max_edits:
-                go(i + 1, [*chosen, t], cost + c, gain + g)
+                yield from go(i + 1, [*chosen, t], cost + c, gain + g)
 
-    go(0, [], 0, 0)
-    return out
+    out: dict[str, tuple[int, int]] = {}
+    for chosen, v in go(0, [], 0, 0):
+        for r in (parse(chosen, more), _other(chosen) if unread else None):
+            k = key_of(r)[0] if r else None
+            if k and (k not in out or v < out[k]):
+                out[k] = v
+        if len(out) >= PIECE:
+            yield out
+            out = {}
+    yield out
+
+
+def _told(lines: str) -> tuple[dict[str, list[tuple[str, int, int]]], frozenset[str]]:
+    """Corrections of a name's tokens, (token, edits, gain) each, and given names besides the listed ones."""
+    fixes, more = {}, set()
+    for x in lines.split("\n") if lines else ():
+        words, given = x.split("\t")
+        t, *w = words.split(" ")
+        if w:
+            fixes[t] = [(w[k], int(w[k + 1]), int(w[k + 2])) for k in range(0, len(w), 3)]
+        more.update(given.split())
+    return fixes, frozenset(more)
 
 
 def link_variants(names: DataFrame, *, name: str = "name", max_edits: int = 4, rare: int = RARE, ratio: int = 3) -> DataFrame:
@@ -354,13 +401,7 @@ def link_variants(names: DataFrame, *, name: str = "name", max_edits: int = 4, r
 
     def near(batches):
         for pdf in batches:
-            out = []
-            for t, n, lex in zip(pdf["t"], pdf["n"], pdf["lex"]):
-                most = 2 if len(t) >= 6 else 1 if len(t) > 3 else 0
-                one = _deletions(t, min(most, 1))
-                out += [(t, n, lex, v, 1) for v in one | {"~" + _sound(t)}]
-                out += [(t, n, lex, v, 2) for v in (_deletions(t, 2) - one if most == 2 else ())]
-            yield pd.DataFrame(out, columns=["t", "n", "lex", "v", "far"])
+            yield from _pieces(((t, n, lex, v, far) for t, n, lex in zip(pdf["t"], pdf["n"], pdf["lex"]) for v, far in _around(t)), ["t", "n", "lex", "v", "far"])
 
     around = materialize(vocab.mapInPandas(near, "t string, n bigint, lex boolean, v string, far int"), "names-around")
     wrong = around.where("not lex").select("v", "far", "t", F.col("n").alias("nt"))
@@ -395,7 +436,7 @@ def link_variants(names: DataFrame, *, name: str = "name", max_edits: int = 4, r
 
     def place(batches):
         for pdf in batches:
-            yield pd.DataFrame([p for toks in pdf["tokens"] for p in positions(list(toks))], columns=["t", "behind"])
+            yield from _pieces((p for toks in pdf["tokens"] for p in positions(list(toks))), ["t", "behind"])
 
     # given names besides the listed ones, unless they may be misspellings of these
     placed = typed.select("tokens").mapInPandas(place, "t string, behind int").groupBy("t").agg(F.sum("behind").alias("_g"), F.count(F.lit(1)).alias("_n")).where("2 * _g > _n")
@@ -403,32 +444,36 @@ def link_variants(names: DataFrame, *, name: str = "name", max_edits: int = 4, r
     fixes = fixes.join(given, "t", "full_outer")
     fixes = fixes.select("t", "fixes", "given", F.explode_outer("fixes").alias("_x")).join(given.select(F.col("t").alias("_u"), F.col("t").alias("_gu")), F.col("_x.u") == F.col("_u"), "left").groupBy("t").agg(F.first("fixes").alias("fixes"), F.array_compact(F.array_append(F.collect_set("_gu"), F.first(F.when(F.col("given"), F.col("t"))))).alias("given"))
 
+    # a line for each token: it and its corrections, a tab, given names; no token holds a blank. A batch of nested rows is many times larger in Python than one of lines
+    line = F.concat_ws("\t", F.concat_ws(" ", "t", F.transform("fixes", lambda x: F.concat_ws(" ", x["u"], x["d"].cast("string"), x["gain"].cast("string")))), F.concat_ws(" ", "given"))
+    fixes = fixes.select("t", line.alias("fix"))
+
     # 2. rewritings
     # words meet their corrections one by one and come together again as the name's tokens, so that names are shuffled once
     apart = typed.select("name", F.posexplode("tokens").alias("k", "t")).join(fixes.hint("merge"), "t", "left")
-    full = apart.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("k", "t"))).alias("_t"), F.collect_list(F.when(F.col("fixes").isNotNull() | F.col("given").isNotNull(), F.struct("t", "fixes", "given"))).alias("fx"))
+    full = apart.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("k", "t"))).alias("_t"), F.concat_ws("\n", F.collect_list("fix")).alias("fx"))
     full = full.select("name", F.transform("_t", lambda x: x["t"]).alias("tokens"), "fx")
 
+    def rewritten(pdf):
+        for nm, toks, fx in zip(pdf["name"], pdf["tokens"], pdf["fx"]):
+            toks = list(toks)
+            fix, more = _told(fx)
+            read = parse(toks, more)
+            own = read or _other(toks)
+            mine = key_of(own) if own else ("", 0)
+            for piece in rewritings(toks, fix, max_edits, more, read):
+                for k, (c, g) in piece.items():
+                    yield nm, mine[0], mine[1], k, _specific(k), c, -g
+
     def rewrite(batches):
         for pdf in batches:
-            out = []
-            for nm, toks, fx in zip(pdf["name"], pdf["tokens"], pdf["fx"]):
-                toks = list(toks)
-                fix = {x["t"]: [(y["u"], int(y["d"]), int(y["gain"])) for y in x["fixes"]] for x in fx if x["fixes"] is not None} if len(fx) else {}
-                more = frozenset(g for x in fx if x["given"] is not None for g in x["given"]) if len(fx) else frozenset()
-                read = parse(toks, more)
-                own = read or _other(toks)
-                mine = key_of(own) if own else ("", 0)
-                for k, (c, g) in rewritings(toks, fix, max_edits, more, read).items():
-                    out.append((nm, mine[0], mine[1], k, _specific(k), c, -g))
-            yield pd.DataFrame(out, columns=["name", "own", "own_level", "form", "level", "cost", "gain"])
+            yield from _pieces(rewritten(pdf), ["name", "own", "own_level", "form", "level", "cost", "gain"])
 
     forms = materialize(full.mapInPandas(rewrite, "name string, own string, own_level int, form string, level int, cost int, gain bigint"), "names-forms")
 
     def shorten(batches):
         for pdf in batches:
-            out = [(e, f, int(not _lexical(e))) for e in pdf["entity"] for f in forms_of(e)]
-            yield pd.DataFrame(out, columns=["entity", "form", "odd"])
+            yield from _pieces(((e, f, int(not _lexical(e))) for e in pdf["entity"] for f in forms_of(e)), ["entity", "form", "odd"])
 
     # 3a. spelled-out forms and their misspellings
     complete = forms.where("cost = 0 and level = 6").select("form").distinct()
@@ -454,7 +499,8 @@ def link_variants(names: DataFrame, *, name: str = "name", max_edits: int = 4, r
     # right but short spellings of an entity whose full spellings are all wrong: what these may be corrected to is shortened as well
     fixed = lone.join(roots.select(F.col("form").alias("wrong"), F.col("entity").alias("_e")), "wrong").groupBy(F.col("form").alias("entity"), "_e").agg(F.min("cost").alias("far"))
     reach = fixed.select("entity").distinct().mapInPandas(shorten, "entity string, form string, odd int")
-    short = short.unionByName(reach.hint("merge").join(fixed, "entity").select(F.col("_e").alias("entity"), "form", "odd", "far")).groupBy("entity", "form").agg(F.min("odd").alias("odd"), F.min("far").alias("far")).hint("merge")
+    short = short.unionByName(reach.hint("merge").join(fixed, "entity").select(F.col("_e").alias("entity"), "form", "odd", "far")).groupBy("entity", "form").agg(F.min("odd").alias("odd"), F.min("far").alias("far"))
+    short = _two(short, "odd", "far").hint("merge")
     less = forms.where("own_level < 6")
     hits = less.where("level < 6").join(short, "form").select("name", "entity", (F.col("cost") + F.col("far")).alias("cost"), "odd").unionByName(first.withColumn("odd", F.lit(0)).join(less.select("name").distinct(), "name", "left_semi"))
     partial = _unique(hits)
@@ -464,7 +510,7 @@ def link_variants(names: DataFrame, *, name: str = "name", max_edits: int = 4, r
     every = materialize(forms.where("own <> ''").join(linked.select("name"), "name", "left_anti"), "names-left")
     left = every.where("own_level > 0")
     own = left.where("cost = 0 and form = own").select("form", "level").distinct()
-    short2 = own.select(F.col("form").alias("entity")).mapInPandas(shorten, "entity string, form string, odd int").hint("merge")
+    short2 = _two(own.select(F.col("form").alias("entity")).mapInPandas(shorten, "entity string, form string, odd int"), "odd").hint("merge")
     up = _unique(left.where("cost = 0 and form = own").select(F.col("form").alias("name")).distinct().join(short2, F.col("name") == short2["form"]).select("name", "entity", F.lit(0).alias("cost"), "odd")).select(F.col("name").alias("own"), "entity")
     rest = left.select("name", "own").distinct().join(up, "own", "left").select("name", F.coalesce("entity", "own").alias("entity"))
     read = materialize(linked.unionByName(rest), "names-read")
@@ -488,10 +534,11 @@ def link_variants(names: DataFrame, *, name: str = "name", max_edits: int = 4, r
     # short spellings that met nothing, among what unread ones may be shortened to
     def guess(batches):
         for pdf in batches:
-            yield pd.DataFrame([(e, f) for e, t in zip(pdf["entity"], pdf["tokens"]) for f in hypotheses(list(t))], columns=["entity", "form"])
+            yield from _pieces(((e, f) for e, t in zip(pdf["entity"], pdf["tokens"]) for f in hypotheses(list(t))), ["entity", "form"])
 
     single = left.where("cost = 0 and form = own").select("name", "form").distinct()
-    guessed = others.join(typed.select("name", "tokens"), "name").select("entity", "tokens").mapInPandas(guess, "entity string, form string").distinct().hint("merge")
+    guessed = others.join(typed.select("name", "tokens"), "name").select("entity", "tokens").mapInPandas(guess, "entity string, form string")
+    guessed = _two(guessed).hint("merge")
     found = materialize(_unique(single.join(guessed, "form").select("name", "entity", F.lit(0).alias("cost"), F.lit(0).alias("odd"))), "names-guessed")
     # the whole group that a short spelling stands for moves with it
     moved = found.join(read, "name").select(read["entity"].alias("_from"), found["entity"].alias("_to")).groupBy("_from").agg(F.min("_to").alias("_to"), F.count_distinct("_to").alias("_k")).where("_k = 1")
@@ -541,6 +588,13 @@ def _unique(hits: DataFrame) -> DataFrame:
     return best.groupBy("name").agg(F.min("entity").alias("entity"), F.count(F.lit(1)).alias("_k")).where("_k = 1").select("name", "entity")
 
 
+def _two(short: DataFrame, *at: str) -> DataFrame:
+    """(entity, form, *at) with two entities, if there are, for each form at the same distance: two already tell _unique that it denotes none, and
+    common forms (an initial and a surname) have entities as many as the names that would meet them all."""
+    ends = short.repartition("form").groupBy("form", *at).agg(F.min("entity").alias("_a"), F.max("entity").alias("_b"))
+    return ends.select(F.explode(F.array_distinct(F.array("_a", "_b"))).alias("entity"), "form", *at)
+
+
 def variant_pairs(linked: DataFrame) -> DataFrame:
     """(name_a, name_b) of all spellings of one entity, in binary order: the result asked for lists them all."""
     a = linked.select(F.col("name").alias("name_a"), "entity")

@@ -117,3 +117,44 @@ def test_long_chains_of_misspellings_end_at_their_root(spark):
     steps = [(f"f{k + 1}", f"f{k}") for k in range(40)]
     got = {r["wrong"]: r["form"] for r in N._followed(spark.createDataFrame(steps, "wrong string, form string")).collect()}
     assert got == {w: "f0" for w, _ in steps}
+
+
+def peak_mb(work):
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_does_not_follow_what_long_words_and_names_make():
+    words = [f"{'grosendobrirtonza' * k}{i:03d}" for k in (1, 2) for i in range(150)] + ["".join(chr(97 + i * i % 26) for i in range(700))]
+    sizes = []
+    rows = ((t, v, far) for t in words for v, far in N._around(t))
+    assert peak_mb(lambda: sizes.extend((len(f), sum(map(len, f["t"]))) for f in N._pieces(rows, ["t", "v", "far"]))) < 60
+    assert sum(n for n, _ in sizes) > 350_000 and all(n <= N.PIECE and c <= N.PIECE_CHARS + 700 for n, c in sizes)
+    for w in ("xxxxxxxxx", "abababab", "aabbaccab", "grosendo"):
+        assert set(N._two_deletions(w)) == N._deletions(w, 2) - N._deletions(w, 1)
+    name = [f"tok{c}{d}e" for c in "abcdefgh" for d in "xyz"]
+    fixes = {t: [(t + x, 1, 5) for x in "rst"] for t in name}
+    got = []
+    assert peak_mb(lambda: got.extend(len(p) for p in N.rewritings(["sa.", *name], fixes, 3))) < 60
+    assert sum(got) == 1 + 24 * 3 + 276 * 9 + 2024 * 27 and len(got) == 3 and max(got) <= N.PIECE + 1
+
+
+def test_corrections_pass_as_lines():
+    assert N._told("") == ({}, frozenset())
+    assert N._told("grosnedo grosendo 1 7 grosedo 2 1000000\t\nhakan\thakan hakkan\nx\t") == ({"grosnedo": [("grosendo", 1, 7), ("grosedo", 2, 1000000)]}, {"hakan", "hakkan"})
+
+
+def test_two_entities_of_a_form_tell_as_much_as_all(spark):
+    short = [(f"e{k}", f, k % 2) for k in range(60) for f in ("common", f"own{k}", f"pair{k // 2}")]
+    full = spark.createDataFrame(short, "entity string, form string, odd int")
+    two = N._two(full, "odd").cache()
+    assert two.where("form = 'common'").count() == 4 and two.groupBy("form", "odd").count().where("count > 2").isEmpty()
+    hits = spark.createDataFrame([("a", "common", 1), ("b", "own3", 0), ("c", "pair4", 0), ("d", "common", 1), ("d", "own7", 0), ("d", "own8", 2)], "name string, form string, cost int")
+    answers = [{tuple(r) for r in N._unique(hits.join(x, "form").select("name", "entity", "cost", "odd")).collect()} for x in (full, two)]
+    assert answers[0] == answers[1] == {("b", "e3"), ("c", "e8"), ("d", "e7")}
