@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import count
 
@@ -65,6 +66,8 @@ SWITCH_BITS = 6
 OLD_BITS, FOREIGN_BITS = 20, 40
 MEANT = {"pl": ("cp1250", "iso8859_2"), "el": ("cp1253", "iso8859_7")}
 OLD = frozenset(("mac_roman", "cp437", "cp850", "latin1"))
+#: Bits that a single-byte reading costs besides if no fewer characters are out of place by it: lengths of short stretches differ by some bytes for no reason.
+IDLE_BITS = 32
 #: Bits for every character out of place that a reading leaves, as the dictionaries' letter codes hardly tell rare bytes apart.
 ODD_BITS = 6
 #: Characters up to which a stretch is measured together with the one in front of it.
@@ -145,7 +148,7 @@ def _unfolded(text: str) -> str:
 
 #: Encodings that bytes are read by or were meant in; every ordered pair is a single-byte reading.
 CODECS = ("cp1252", "latin1", "mac_roman", "cp437", "cp850", "cp1250", "cp1251", "cp1253", "iso8859_7", "iso8859_2")
-_HIGH = re.compile("[^\\x00-\\x7f]")
+_HIGH, _EACH_HIGH = re.compile("[^\\x00-\\x7f]"), re.compile("([^\\x00-\\x7f])")
 
 
 @lru_cache(1 << 14)
@@ -161,8 +164,13 @@ def _singles(chars: frozenset[str]) -> tuple[tuple[str, dict[str, str]], ...]:
     return tuple(out.values())
 
 
-def _exchanged(text: str, made: dict[str, str]) -> str:
-    return _HIGH.sub(lambda m: made.get(m.group(), m.group()), text)
+def _exchanged(text: str, *tables: dict[str, str]) -> Iterator[str]:
+    """text with its characters beyond ASCII exchanged by each of the tables."""
+    parts = _EACH_HIGH.split(text)
+    high = parts[1::2]
+    for made in tables:
+        parts[1::2] = [made.get(c, c) for c in high]
+        yield "".join(parts)
 
 
 @lru_cache(None)
@@ -170,8 +178,8 @@ def _gate(languages: tuple[str, ...]) -> re.Pattern:
     return re.compile(gate(languages))
 
 
-def _steps(text: str, first: bool, wide: re.Pattern, strange: re.Pattern = _SUSPECT, every: bool = False):
-    """All readings one step from text: (step, reading). Single-byte ones that explain no character out of place are passed over unless every."""
+def _steps(text: str, first: bool):
+    """All readings one step from text: (step, reading). Single-byte ones, and pairs of bytes that were read as UTF-16, at the first step."""
     chars = frozenset(_HIGH.findall(text))
     for codec in CODECS:
         if not chars.isdisjoint(_utf8(codec)[2]):
@@ -183,11 +191,8 @@ def _steps(text: str, first: bool, wide: re.Pattern, strange: re.Pattern = _SUSP
             if r != up:  # capitals alone decode nothing
                 yield f"utf-8<lower({codec})", r
     if first:
-        bad, odd = len(wide.findall(text)), len(strange.findall(text))
-        for name, made in _singles(chars):
-            r = _exchanged(text, made)
-            if every or len(wide.findall(r)) < bad or odd and len(strange.findall(r)) < odd:
-                yield name, r
+        names, tables = zip(*singles) if (singles := _singles(chars)) else ((), ())
+        yield from zip(names, _exchanged(text, *tables))
         for order in ("le", "be") if _WIDE.search(text) else ():
             for codec in ("cp1252", "utf-8"):
                 yield f"{codec}<utf-16-{order}", _narrow(order, codec, text)
@@ -196,8 +201,8 @@ def _steps(text: str, first: bool, wide: re.Pattern, strange: re.Pattern = _SUSP
 class Judge:
     """Description lengths by the dictionaries of all languages."""
 
-    def __init__(self, dictionaries: dict[str, bytes], level: int = 7, odd_bits: int = ODD_BITS, every: bool = False):
-        """odd_bits, every: what characters out of place cost, and whether readings that explain none of them are measured as well."""
+    def __init__(self, dictionaries: dict[str, bytes], level: int = 7, odd_bits: int = ODD_BITS, every: bool = True):
+        """odd_bits: what characters out of place cost. every: all readings are measured; False passes over single-byte ones that explain nothing odd, for comparison."""
         import zstandard
 
         self.odd_bits, self.every = odd_bits, every
@@ -233,7 +238,7 @@ class Judge:
         while level and only is None:  # every further reading of UTF-8 is shorter than what it was read from, so this ends
             nxt = {}
             for t, chain in level.items():
-                for name, r in _steps(t, step == 0, wide, strange, self.every):
+                for name, r in _steps(t, step == 0):
                     if r not in seen:
                         seen[r] = nxt[r] = f"{chain}+{name}" if chain else name
             step += 1
@@ -241,18 +246,27 @@ class Judge:
             if step >= ALL_STEPS and level:
                 t = min(level, key=lambda t: (self.bits(before + t, languages), t))
                 level = {t: level[t]}
+        bad, odd = len(wide.findall(text)), len(strange.findall(text))
+        # single-byte readings, not yet paid for, that explain no character out of place
+        idle = lambda t, c: only is None and "utf-" not in c and len(wide.findall(t)) >= bad and not (odd and len(strange.findall(t)) < odd)
+        if not self.every:
+            seen = {t: c for t, c in seen.items() if not c or not idle(t, c)}
         if len(seen) == 1:
             return text, ""
         capitals = len(_CAPITAL.findall(text)) > len(_SMALL.findall(text))
         known = len(_ALIEN.findall(text))
-        meant, readings = frozenset(e for k in languages | _script(text) for e in MEANT.get(k, ("cp1252",))), math.log2(len(seen)) if self.every else 0.0
-        spoken = languages.union(*map(_script, seen))  # the same for all readings, as a dictionary may know a phrase of another language
+        meant = frozenset(e for k in languages | _script(text) for e in MEANT.get(k, ("cp1252",)))
+        spoken = languages | _script("\n".join(seen))  # the same for all readings, as a dictionary may know a phrase of another language
         cost = lambda t: self.bits(before + t, spoken, capitals) + (self.odd_bits * len(strange.findall(t)) if self.odd_bits else 0)
-        cands = [(cost(text), 0, "", text)]
+        least = (cost(text), 0, "", text)
         for t, c in seen.items():
             if c and len(_ALIEN.findall(t)) <= known:  # what was meant holds no more controls and foreign letters than what was read
-                cands.append((cost(t) + (AGAIN_BITS if c in used else _cost(c, meant, readings)), c.count("+") + 1, c, t))
-        return min(cands)[3:1:-1]
+                bits = cost(t) + (AGAIN_BITS if c in used else _cost(c, meant))
+                if (bits, c.count("+") + 1, c, t) < least:
+                    if idle(t, c):  # which of all readings it is has to be told as well
+                        bits += IDLE_BITS + math.log2(len(seen))
+                    least = min(least, (bits, c.count("+") + 1, c, t))
+        return least[3:1:-1]
 
 
 def _redo(text: str, chain: str) -> str:
@@ -274,25 +288,23 @@ _ALIEN = re.compile(f"[^\x00-\x7f{_ALPHABET}ąćęłńśźżĄĆĘŁŃŚŹŻ\u03
 _CAPITAL, _SMALL = re.compile("[A-Z]"), re.compile("[a-z]")
 
 
-def _cost(chain: str, meant: frozenset[str], readings: float) -> float:
-    """Bits that tell a chain: its steps, for a single-byte one whether its encoding is one that the languages are written in, and which of the readings it is where all are measured."""
-    bits, steps = 0.0, chain.split("+")
+def _cost(chain: str, meant: frozenset[str]) -> int:
+    """Bits that tell a chain: its steps, and for a single-byte one whether its encoding is one that the languages are written in."""
+    bits, steps = 0, chain.split("+")
     for k, step in enumerate(steps):
         right = step.split("<")[0]
         if right == "utf-8":
             bits += (REPEAT_BITS + (0 if step == steps[k - 1] else SWITCH_BITS)) if k else UTF8_BITS
         else:
-            bits += SINGLE_BITS + readings + (0 if right in meant else OLD_BITS if right in OLD else FOREIGN_BITS)
+            bits += SINGLE_BITS + (0 if right in meant else OLD_BITS if right in OLD else FOREIGN_BITS)
     return bits
 
 
+_LETTERS = {"el": re.compile("[Ͱ-Ͽ]"), "pl": re.compile("[ąćęłńśźżĄĆĘŁŃŚŹŻ]")}
+
+
 def _script(text: str) -> set[str]:
-    out = set()
-    if re.search("[Ͱ-Ͽ]", text):
-        out.add("el")
-    if re.search("[ąćęłńśźżĄĆĘŁŃŚŹŻ]", text):
-        out.add("pl")
-    return out
+    return {k for k, letters in _LETTERS.items() if letters.search(text)}
 
 
 _SENTENCE = re.compile(r"[^\n.;]*[\n.;]+\s*|[^\n.;]+")

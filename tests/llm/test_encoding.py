@@ -118,3 +118,24 @@ def test_every_reading_may_be_measured(judge, dictionaries):
     for t in ES + ["Temperatura 21 °C, 1ª hoja, «anexo»."]:
         assert E.restore(t, every, "es")[0] == E.restore(t, judge, "es")[0] == "CLEAN"
     assert E.restore(misread(ES[0], "cp1252", "cp437"), every, "es")[1] == ES[0]
+
+
+def test_every_single_byte_reading_is_measured(dictionaries):
+    judge, measured = E.Judge(dictionaries), set()
+    bits = judge.bits
+    judge.bits = lambda t, *more: measured.add(t) or bits(t, *more)
+    bad = misread(ES[0], "cp1252", "cp437")
+    assert judge.best(bad, {"es"}, set())[0] == ES[0]
+    chars = frozenset(E._HIGH.findall(bad))
+    alien = lambda t: len(E._ALIEN.findall(t))
+    readings = {"".join(made.get(c, c) for c in bad) for _, made in E._singles(chars)}
+    assert len(readings) > 5 and {r for r in readings if alien(r) <= alien(bad)} <= measured
+
+
+def test_a_reading_that_explains_nothing_odd_wins_if_it_is_much_shorter(judge):
+    """Letters that French uses, beside a character that is out of place under any reading."""
+    text = "Ŧelta: " + ES[0]
+    bad = text.replace("ó", "ù")  # written by a Mac, read as cp437
+    assert len(E._SUSPECT.findall(bad)) == len(E._SUSPECT.findall(text)) > 0
+    assert judge.best(bad, {"es", "fr"}, set()) == (text, "mac_roman<cp437")
+    assert judge.best(text, {"es", "fr"}, set()) == (text, "")
